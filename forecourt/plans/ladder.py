@@ -36,7 +36,7 @@ class RidgeLogistic(Estimator, HasFeaturesCol, HasLabelCol, HasMaxIter):
     @keyword_only
     def __init__(self, *, c=10.0, maxIter=500, featuresCol="features", labelCol=SEGMENT):
         super().__init__()
-        self._setDefault(c=10.0)
+        self._setDefault(c=10.0, maxIter=500, featuresCol="features", labelCol=SEGMENT)
         self._set(**self._input_kwargs)
 
     def _fit(self, df):
@@ -57,7 +57,7 @@ class Ridge(Estimator, HasFeaturesCol, HasLabelCol):
     @keyword_only
     def __init__(self, *, alpha=0.1, featuresCol="features", labelCol=TARGET):
         super().__init__()
-        self._setDefault(alpha=0.1)
+        self._setDefault(alpha=0.1, featuresCol="features", labelCol=TARGET)
         self._set(**self._input_kwargs)
 
     def _fit(self, df):

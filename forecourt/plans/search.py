@@ -106,7 +106,7 @@ def search_table(spark, result: CrossValidatorModel) -> DataFrame:
     best = (max if larger else min)(result.avgMetrics)
     rows = [
         (i, ", ".join(f"{p.name}={v:.4f}" if isinstance(v, float) else f"{p.name}={v}" for p, v in m.items()),
-         float(metric), metric == best)
+         float(metric), bool(metric == best))
         for i, (m, metric) in enumerate(zip(result.getEstimatorParamMaps(), result.avgMetrics))
     ]
     return spark.createDataFrame(rows, "draw int, settings string, metric double, best boolean")

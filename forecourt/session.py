@@ -4,29 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Recording the Python line of every column expression costs more than planning a small query.
-QUIET = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
-
 
 def local_session(cores: str = "*", memory: str = "8g", shuffles: int = 8) -> SparkSession:
     """A session for tests and benchmarks on one machine. A cluster brings its own."""
-    builder = (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]").appName("forecourt")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffles))
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording the Python line of every column expression costs more than planning a small query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .getOrCreate()
     )
-    for key, value in QUIET.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def quiet(spark: SparkSession) -> SparkSession:
-    """Switches off call-site recording in a session made elsewhere; nothing else is touched."""
-    for key, value in QUIET.items():
-        spark.conf.set(key, value)
-    return spark
