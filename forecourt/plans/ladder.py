@@ -11,7 +11,9 @@ from dataclasses import dataclass
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import (
+    DecisionTreeClassifier, GBTClassifier, LogisticRegression, LogisticRegressionModel,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from forecourt.config import SEGMENT, TARGET, Seeds
 from forecourt.operators.metrics import classification_metrics, regression_metrics, roc_auc
 from forecourt.plans.encode import preprocess, preprocessing
-from forecourt.sources.storage import written
+from forecourt.sources.storage import scratch, written
 
 
 class RidgeLogistic(Estimator, HasFeaturesCol, HasLabelCol, HasMaxIter):
@@ -41,9 +43,14 @@ class RidgeLogistic(Estimator, HasFeaturesCol, HasLabelCol, HasMaxIter):
 
     def _fit(self, df):
         rows = df.count()
-        return LogisticRegression(
+        fitted = LogisticRegression(
             featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), maxIter=self.getMaxIter(),
             regParam=1.0 / (self.getOrDefault(self.c) * rows), elasticNetParam=0.0, standardization=False).fit(df)
+        # A fresh fit drags its training summary, and with it the session, into every task; that fails as
+        # soon as the session has observed a query. The stored model has no summary.
+        path = scratch(df.sparkSession, "logistic")
+        fitted.write().save(path)
+        return LogisticRegressionModel.load(path)
 
 
 class Ridge(Estimator, HasFeaturesCol, HasLabelCol):
