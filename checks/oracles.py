@@ -407,7 +407,7 @@ SELECT 42 AS seed, 20 AS test_percent, 2001 AS reference_year, round((SELECT thr
         "feature_select_columns": "SELECT listing_id, brand, model, fuel_type, transmission_type, car_age, power_ps, "
                                   "mileage_in_km, round(mileage_per_year, 6) AS mileage_per_year FROM split",
         "price_segment": "SELECT listing_id, split, price_in_euro, price_segment FROM labelled",
-        "scope_flag": "SELECT request_id, round(price * 2, 6) AS price, price * 2 < 2000 OR price * 2 > 80000 "
+        "scope_flag": "SELECT request_id, round(price * 2, 7) AS price, price * 2 < 2000 OR price * 2 > 80000 "
                       "AS outside_scope FROM scored_requests",
         "input_bounds": "SELECT request_id, rejected_for, rejected_for = '' AS valid FROM bounded",
         "year_midpoint": "SELECT request_id, min_year, max_year, (min_year + max_year) // 2 AS year FROM requests",
@@ -429,12 +429,12 @@ FROM requests LEFT JOIN m USING (brand, model) LEFT JOIN b USING (brand)""",
         "similar_listings": SIMILAR,
         "explain_listing": EXPLAIN,
         "compare_pairs": """
-SELECT x.request_id AS pair_id, x.request_id AS request_a, y.request_id AS request_b, round(x.price, 6) AS price_a,
-  round(y.price, 6) AS price_b, CASE WHEN x.high >= 0.5 THEN 'HIGH' ELSE 'LOW' END AS segment_a,
+SELECT x.request_id AS pair_id, x.request_id AS request_a, y.request_id AS request_b, round(x.price, 7) AS price_a,
+  round(y.price, 7) AS price_b, CASE WHEN x.high >= 0.5 THEN 'HIGH' ELSE 'LOW' END AS segment_a,
   CASE WHEN y.high >= 0.5 THEN 'HIGH' ELSE 'LOW' END AS segment_b,
-  round(greatest(x.high, 1 - x.high), 6) AS confidence_a, round(greatest(y.high, 1 - y.high), 6) AS confidence_b,
-  round(y.price - x.price, 6) AS difference,
-  round(CASE WHEN x.price > 0 THEN (y.price - x.price) / x.price * 100 ELSE 0 END, 6) AS difference_pct,
+  round(greatest(x.high, 1 - x.high), 7) AS confidence_a, round(greatest(y.high, 1 - y.high), 7) AS confidence_b,
+  round(y.price - x.price, 7) AS difference,
+  round(CASE WHEN x.price > 0 THEN (y.price - x.price) / x.price * 100 ELSE 0 END, 7) AS difference_pct,
   CASE WHEN abs(y.price - x.price) < 1 THEN 'same' WHEN y.price > x.price THEN 'b dearer' ELSE 'a dearer' END AS verdict
 FROM scored_requests x JOIN scored_requests y ON y.request_id = x.request_id + 1""",
         "brand_context": "SELECT brand, n, round(brand_median, 6) AS brand_median, round(overall_median, 6) AS "
@@ -506,7 +506,7 @@ SELECT CAST(row_number() OVER (ORDER BY part, last, level) - 1 AS INTEGER) AS po
       ('mileage_in_km', 3), ('mileage_per_year', 4)) v(c, i))""",
         "dummy_classifier": "SELECT listing_id, CAST(prediction AS DOUBLE) AS prediction, CAST(prediction AS DOUBLE) AS "
                             "score FROM dummy WHERE split = 'test'",
-        "dummy_regressor": "SELECT listing_id, round((SELECT price FROM by_all), 6) AS prediction FROM labelled "
+        "dummy_regressor": "SELECT listing_id, round((SELECT price FROM by_all), 7) AS prediction FROM labelled "
                            "WHERE split = 'test'",
         "classification_metrics": "SELECT split, n, " + ", ".join(
             f"round({c}, 6) AS {c}" for c in ("accuracy", "precision", "recall", "f1_binary", "f1_macro"))
@@ -519,7 +519,7 @@ SELECT v AS actual, (SELECT count(*) FROM scored WHERE split = 'test' AND label
 FROM (VALUES (0), (1)) t(v)""",
         "regression_metrics": "SELECT split, n, round(r2, 4) AS r2, round(mae, 4) AS mae, round(rmse, 4) AS rmse FROM "
                               + REG.format(p="price", source="scored"),
-        "residuals": "SELECT listing_id, price_in_euro AS label, round(price - price_in_euro, 6) AS residual FROM scored "
+        "residuals": "SELECT listing_id, price_in_euro AS label, round(price - price_in_euro, 7) AS residual FROM scored "
                      "WHERE split = 'test' ORDER BY md5('sample|42|' || listing_id), listing_id LIMIT 5000",
         "best_model": f"(SELECT model, f1_macro AS metric FROM ({BOARD}) ORDER BY f1_macro DESC, position LIMIT 1) "
                       f"UNION ALL (SELECT model, r2 FROM ({REG_BOARD}) ORDER BY r2 DESC, position LIMIT 1)",

@@ -213,7 +213,7 @@ def price_segment(spark, d):
 
 def scope_flag(spark, d):
     priced = t.scored_requests(spark, d).select("request_id", (F.col("price") * 2).alias("price"))
-    return rounded(features.scope_flag(priced, "price", SCOPE), "price", decimals=6)
+    return rounded(features.scope_flag(priced, "price", SCOPE), "price", decimals=7)
 
 
 def input_bounds(spark, d):
@@ -265,7 +265,7 @@ def explain(spark, d):
 def compare(spark, d):
     scored = written(t.scored_requests(spark, d), "scored")
     return rounded(compare_pairs(t.pairs(spark, d), scored), "price_a", "price_b", "difference", "difference_pct",
-                   "confidence_a", "confidence_b", decimals=6)
+                   "confidence_a", "confidence_b", decimals=7)
 
 
 def context(spark, d):
@@ -440,7 +440,7 @@ def dummy_classifier(spark, d):
 def dummy_regressor(spark, d):
     rows = t.labelled(spark, d)
     out = ladder.dummy_regressor(rows.filter("split = 'train'"), rows)
-    return rounded(out.filter("split = 'test'").select("listing_id", "prediction"), "prediction", decimals=6)
+    return rounded(out.filter("split = 'test'").select("listing_id", "prediction"), "prediction", decimals=7)
 
 
 def _rung(climb, name, estimator):
@@ -485,7 +485,7 @@ def residuals(spark, d):
     rows = metrics.residuals(t.priced(t.labelled(spark, d)).filter("split = 'test'"))
     # The 5,000 points of the residual plot.
     return rounded(splitting.sample_rows(rows, 5000, "listing_id", SEEDS).select("listing_id", "label", "residual"),
-                   "residual", decimals=6)
+                   "residual", decimals=7)
 
 
 def feature_importance(spark, d):
