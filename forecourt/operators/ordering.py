@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from forecourt.sources.storage import written
 
 RANGES = 256
+# Up to this many counted values a quantile keeps them all in one aggregate; beyond, it goes by ranges.
+VALUES_IN_MEMORY = 1_000_000
 
 
 def balanced_cuts(df: DataFrame, columns: list[str], ranges: int = RANGES) -> list[list[float]]:
@@ -75,8 +77,23 @@ def value_counts(df: DataFrame, keys, value: str) -> DataFrame:
     return written(present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
 
 
-def quantiles_of_counts(counts: DataFrame, keys, shares) -> DataFrame:
-    """Exact interpolated quantiles of counted values; see group_quantiles."""
+def quantiles_of_counts(counts: DataFrame, keys, shares, values_in_memory: int = VALUES_IN_MEMORY) -> DataFrame:
+    """Exact interpolated quantiles of counted values; see group_quantiles.
+
+    The built-in aggregate holds every distinct value of a group in one place. It is used when all the
+    groups together have few enough of them, which counting the written table tells.
+    """
+    if counts.count() > values_in_memory:
+        return _quantiles_by_range(counts, keys, shares)
+    wanted = ", ".join(f"{float(s)!r}D" for s in shares)
+    return (
+        counts.groupBy(*keys).agg(F.expr(f"percentile(_v, array({wanted}), _n)").alias("q"), F.sum("_n").alias("n"))
+        .filter("n > 0").selectExpr(*keys, "n", f"inline(arrays_zip(array({wanted}), q))")
+        .toDF(*keys, "n", "share", "quantile").select(*keys, "share", "n", "quantile")
+    )
+
+
+def _quantiles_by_range(counts: DataFrame, keys, shares) -> DataFrame:
     (cuts,) = balanced_cuts(counts, ["_v"])
     merged = counts.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))
     ranged = with_range(merged, "_v", cuts)
@@ -110,14 +127,14 @@ def quantiles_of_counts(counts: DataFrame, keys, shares) -> DataFrame:
     )
 
 
-def group_quantiles(df: DataFrame, keys, value: str, shares) -> DataFrame:
+def group_quantiles(df: DataFrame, keys, value: str, shares, values_in_memory: int = VALUES_IN_MEMORY) -> DataFrame:
     """Exact interpolated quantiles per key: columns keys, `share`, `n`, `quantile`.
 
     Equal values are merged before anything is shuffled by range, and only the ranges that hold a wanted
     rank are sorted. Rows with a NULL key or value are left out, as in a data frame's groupby. With an
     empty key list the result is one row per share, and none for an empty table.
     """
-    return quantiles_of_counts(value_counts(df, keys, value), keys, shares)
+    return quantiles_of_counts(value_counts(df, keys, value), keys, shares, values_in_memory)
 
 
 def group_medians(df: DataFrame, keys, value: str, name: str = "median") -> DataFrame:

@@ -7,7 +7,8 @@ listings with the smallest scaled distance.
 1. Counts and moments of every filter come from running totals over mileage, one lookup per request.
 2. Listings are summed up in a coarse grid. The grid gives each request a distance within which enough
    listings are certain, and so the cells that can hold a neighbour.
-3. Only listings of those cells meet the request, joined on group and cell.
+3. Only listings of those cells meet the request, joined on group and cell, and of listings with the same
+   numbers only as many as can be among the nearest.
 """
 
 from __future__ import annotations
@@ -168,9 +169,13 @@ def similar_listings(requests: DataFrame, sample: DataFrame, n: int = 8, least:
     # Written, so that the size of the plan is known when the listings are joined: Spark broadcasts it
     # while it is small and shuffles both sides when it is not.
     plan = written(_search_plan(_targets(requests, sample, least), gridded, n), "search-plan")
-    # Only the plan's groups and cells get past this join, so the listings travel with all their columns
-    # and no second look at them is needed.
-    pairs = plan.join(_groups(gridded, keep=("brand", "model")), ["kind", "name", "cell"])
+    place = ["kind", "name", "cell"]
+    listed = _groups(gridded, keep=("brand", "model")).join(plan.select(*place).distinct(), place, "left_semi")
+    # Of listings alike in all three numbers only the n first keys can be among the n nearest of any request,
+    # so a crowd of copies shrinks to n rows before it meets the requests, in every task already.
+    alike = Window.partitionBy("kind", "name", "cell", *DIMS).orderBy(key)
+    listed = listed.withColumn("_copy", F.row_number().over(alike)).filter(F.col("_copy") <= n).drop("_copy")
+    pairs = plan.join(listed, place)
     score = sum((F.abs(F.col(c) - F.col(f"at_{c}")) / F.col(f"scale_{c}") for c in DIMS[1:]),
                 F.abs(F.col(DIMS[0]) - F.col(f"at_{DIMS[0]}")) / F.col(f"scale_{DIMS[0]}"))
     # The limit on the rank is applied in every task before the shuffle.

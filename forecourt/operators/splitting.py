@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.config import Seeds
@@ -35,8 +35,19 @@ def fold_assign(df: DataFrame, key: str, strata=(), seeds: Seeds = Seeds()) -> D
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seeds: Seeds = Seeds()) -> DataFrame:
-    """n rows without replacement. Each task keeps its own n best hashes, so no global sort."""
+    """n rows without replacement, those with the smallest hashes.
+
+    Sorting for a limit would send n rows from every task to one. So rows are first counted by the size
+    of their hash in powers of two, about fifty counts, and only the smallest powers that together hold n
+    rows are sorted: fewer than about 2 n rows, whatever the size of the table.
+    """
+    hashed = df.withColumn("_digest", unit_hash(F.col(key), "sample", seeds.seed)).withColumn(
+        "_power", F.expr("cast(ceil(log2(cast(conv(substr(_digest, 1, 12), 16, 10) AS bigint) + 1)) AS int)"))
+    upto = Window.orderBy("_power").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = hashed.groupBy("_power").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(upto))
+    # NULL when there are no n rows: then all are taken.
+    last = counts.agg(F.min(F.when(F.col("upto") >= n, F.col("_power")))).scalar()
     return (
-        df.withColumn("_digest", unit_hash(F.col(key), "sample", seeds.seed))
-        .orderBy("_digest", key).limit(n).drop("_digest")
+        hashed.filter(F.coalesce(F.col("_power") <= last, F.lit(True)))
+        .orderBy("_digest", key).limit(n).drop("_digest", "_power")
     )

@@ -14,6 +14,9 @@ def local_session(cores: str = "*", memory: str = "8g", shuffles: int = 8) -> Sp
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffles))
         .config("spark.sql.session.timeZone", "UTC")
+        # Small test tables: keep all cores busy instead of merging partitions up to a megabyte.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.files.openCostInBytes", "64k")
         # Recording the Python line of every column expression costs more than planning a small query.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
