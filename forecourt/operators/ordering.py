@@ -53,8 +53,9 @@ def running_totals(df: DataFrame, keys, order: str, measures, descending: bool =
     )
 
 
-def hash_rank(df: DataFrame, keys, digest: str, tie: str, name: str = "rank") -> DataFrame:
-    """Adds the position of each row within its keys, by a hex digest and then the tie column, from 1.
+def hash_rank(df: DataFrame, keys, digest: str, tie: str, name: str = "rank", size: str = "size") -> DataFrame:
+    """Adds the position of each row within its keys, by a hex digest and then the tie column, from 1, and
+    the number of rows that share the keys.
 
     A digest is uniform, so its first three digits are the ranges: 4096 of them, equally filled even when
     one key holds most of the rows.
@@ -62,7 +63,8 @@ def hash_rank(df: DataFrame, keys, digest: str, tie: str, name: str = "rank") ->
     ranged = df.withColumn("_slice", F.substring(digest, 1, 3))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n")).select(
-        *keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+        *keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"),
+        F.sum("_n").over(Window.partitionBy(*keys)).alias(size))
     inside = Window.partitionBy(*keys, "_slice").orderBy(digest, tie)
     return (
         ranged.join(offsets, [*keys, "_slice"])

@@ -22,6 +22,7 @@ from forecourt.operators.ordering import balanced_cuts, running_totals, with_ran
 from forecourt.sources.storage import written
 
 GRID = 16  # ranges per dimension, so a group has at most 16 ** 3 cells
+REQUESTS_PER_COPY = 10_000  # requests for one group that judge its cells in one task
 DIMS = ("mileage_in_km", "year", "power_ps")
 SUMS = ("n", "m1", "m2", "y1", "y2", "p1", "p2")
 
@@ -153,7 +154,16 @@ def _search_plan(targets: DataFrame, gridded: DataFrame, n: int) -> DataFrame:
     # filter and worked out again for every cell. The slack covers the rounding of the bounds.
     kept = (f"transform(array(sort_array({judged})), s -> transform(array({reach}), r -> "
             "filter(s, c -> c.near <= r * (1 + 1e-9D) + 1e-9D))[0])[0]")
-    return targets.join(cells, ["kind", "name"]).withColumn("cell", F.expr(f"explode({kept}.cell)")).drop("cells")
+    # Many requests may ask for the same group. Judging cells is work per request, so such a group's cells
+    # are copied as often as its number of requests demands, and the requests are dealt out to the copies.
+    copies = targets.groupBy("kind", "name").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(REQUESTS_PER_COPY)).cast("int").alias("copies"))
+    dealt = targets.join(copies, ["kind", "name"]).withColumn(
+        "copy", F.pmod(F.xxhash64("request_id"), F.col("copies")).cast("int")).drop("copies")
+    copied = cells.join(copies, ["kind", "name"]).withColumn(
+        "copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    return dealt.join(copied, ["kind", "name", "copy"]).withColumn(
+        "cell", F.expr(f"explode({kept}.cell)")).drop("cells", "copy")
 
 
 def similar_listings(requests: DataFrame, sample: DataFrame, n: int = 8, least: int = 5,
@@ -168,7 +178,8 @@ def similar_listings(requests: DataFrame, sample: DataFrame, n: int = 8, least:
     gridded = _with_grid(sample)
     # Written, so that the size of the plan is known when the listings are joined: Spark broadcasts it
     # while it is small and shuffles both sides when it is not.
-    plan = written(_search_plan(_targets(requests, sample, least), gridded, n), "search-plan")
+    targets = written(_targets(requests, sample, least), "targets")
+    plan = written(_search_plan(targets, gridded, n), "search-plan")
     place = ["kind", "name", "cell"]
     listed = _groups(gridded, keep=("brand", "model")).join(plan.select(*place).distinct(), place, "left_semi")
     # Of listings alike in all three numbers only the n first keys can be among the n nearest of any request,

@@ -20,8 +20,7 @@ def train_test_split(df: DataFrame, key: str, seeds: Seeds = Seeds()) -> DataFra
 def stratified_split(df: DataFrame, strata, key: str, seeds: Seeds = Seeds()) -> DataFrame:
     """Adds `split` with the exact test share inside every stratum, rounded down."""
     hashed = df.withColumn("_digest", unit_hash(F.col(key), "strata", seeds.seed))
-    sizes = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("_size"))
-    ranked = hash_rank(hashed, strata, "_digest", key, "_rank").join(sizes, [*strata])
+    ranked = hash_rank(hashed, strata, "_digest", key, "_rank", "_size")
     side = F.col("_rank") * 100 <= F.col("_size") * seeds.test_percent
     return ranked.withColumn("split", F.when(side, F.lit("test")).otherwise(F.lit("train"))).drop(
         "_digest", "_rank", "_size")
@@ -30,8 +29,8 @@ def stratified_split(df: DataFrame, strata, key: str, seeds: Seeds = Seeds()) ->
 def fold_assign(df: DataFrame, key: str, strata=(), seeds: Seeds = Seeds()) -> DataFrame:
     """Adds `fold`, 0 to folds-1, of sizes that differ by one at most, inside every stratum."""
     hashed = df.withColumn("_digest", unit_hash(F.col(key), "fold", seeds.seed))
-    return hash_rank(hashed, list(strata), "_digest", key, "_rank").withColumn(
-        "fold", (F.pmod(F.col("_rank") - 1, F.lit(seeds.folds))).cast("int")).drop("_digest", "_rank")
+    return hash_rank(hashed, list(strata), "_digest", key, "_rank", "_size").withColumn(
+        "fold", (F.pmod(F.col("_rank") - 1, F.lit(seeds.folds))).cast("int")).drop("_digest", "_rank", "_size")
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seeds: Seeds = Seeds()) -> DataFrame:

@@ -128,6 +128,7 @@ def test_similar_with_a_coarse_and_a_fine_grid(spark, sample, monkeypatch):
     monkeypatch.setattr(s, "GRID", 2)
     coarse = pick()
     monkeypatch.setattr(s, "GRID", 40)
+    monkeypatch.setattr(s, "REQUESTS_PER_COPY", 3)
     assert coarse == pick()
 
 
