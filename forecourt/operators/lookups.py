@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.config import Scope
-from forecourt.operators.ordering import group_quantiles, medians_of_counts, value_counts
+from forecourt.operators.ordering import group_medians, group_quantiles, overall_median
 from forecourt.operators.profiling import long_form
 
 
@@ -25,17 +25,14 @@ def impute_power(requests: DataFrame, sample: DataFrame, scope: Scope, least: in
 
     Groups are brand+model+fuel, brand+model, brand, then all rows; `power_from` names the one used.
     """
-    # One pass over the sample: the counts of the narrowest group serve the wider ones as well. A missing
-    # part of a key must not take the row away from the groups that do not need it.
+    # A missing part of a key does not take the row away from the groups that do not need it.
     parts = ["brand", "model", "fuel_type"]
-    named = sample.select(*[F.struct(c).alias(c) for c in parts], "power_ps")
-    counts = value_counts(named, parts, "power_ps").select(*[f"{c}.{c}" for c in parts], "_v", "_n")
     filled = requests
     levels = (("fuel", parts), ("model", parts[:2]), ("brand", parts[:1]))
     for level, keys in levels:
-        medians = medians_of_counts(counts.dropna(subset=keys), keys, f"_{level}").filter(F.col("n") >= least)
+        medians = group_medians(sample, keys, "power_ps", f"_{level}").filter(F.col("n") >= least)
         filled = filled.join(medians.drop("n"), keys, "left")
-    filled = filled.withColumn("_all", medians_of_counts(counts, [], "m").select("m").scalar())
+    filled = filled.withColumn("_all", overall_median(sample, "power_ps"))
     sources = [("request", "power_ps"), ("fuel", "_fuel"), ("model", "_model"), ("brand", "_brand"), ("all", "_all")]
     origin = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(name)) for name, c in sources], F.lit("default"))
     value = F.coalesce(*[F.col(c).cast("double") for _, c in sources], F.lit(scope.default_power))
@@ -60,11 +57,8 @@ def fuel_options(requests: DataFrame, sample: DataFrame, scope: Scope) -> DataFr
 
 def brand_context(sample: DataFrame, least: int = 10, above: float = 1.2, below: float = 0.85) -> DataFrame:
     """Median price per brand against the median of all; brands with few rows get no verdict."""
-    counts = value_counts(sample.select(F.struct("brand").alias("brand"), "price_in_euro"), ["brand"], "price_in_euro")
-    counts = counts.select("brand.brand", "_v", "_n")
-    overall = medians_of_counts(counts, [], "m").select("m").scalar()
-    ctx = medians_of_counts(counts.dropna(subset=["brand"]), ["brand"], "brand_median").withColumn(
-        "overall_median", overall)
+    ctx = group_medians(sample, ["brand"], "price_in_euro", "brand_median").withColumn(
+        "overall_median", overall_median(sample, "price_in_euro"))
     enough = F.col("n") >= least
     verdict = (
         F.when(enough & (F.col("brand_median") > F.col("overall_median") * above), F.lit("above"))

@@ -14,11 +14,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.sources.storage import written
-
 RANGES = 256
-# Up to this many counted values a quantile keeps them all in one aggregate; beyond, it goes by ranges.
-VALUES_IN_MEMORY = 1_000_000
+# Of a quantile sketch: it is off by at most one rank in so many.
+ACCURACY = 10_000
 
 
 def balanced_cuts(df: DataFrame, columns: list[str], ranges: int = RANGES) -> list[list[float]]:
@@ -73,79 +71,58 @@ def hash_rank(df: DataFrame, keys, digest: str, tie: str, name: str = "rank", si
     )
 
 
-def value_counts(df: DataFrame, keys, value: str) -> DataFrame:
-    """Rows per key and value, as `_v` and `_n`, written once. Rows with a NULL key or value are left out."""
-    present = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna()
-    return written(present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
-
-
-def quantiles_of_counts(counts: DataFrame, keys, shares, values_in_memory: int = VALUES_IN_MEMORY) -> DataFrame:
-    """Exact interpolated quantiles of counted values; see group_quantiles.
+def group_quantiles(df: DataFrame, keys, value: str, shares) -> DataFrame:
+    """Exact interpolated quantiles per key: columns keys, `share`, `n`, `quantile`.
 
-    The built-in aggregate holds every distinct value of a group in one place. It is used when all the
-    groups together have few enough of them, which counting the written table tells.
+    A quantile sketch gives each wanted rank a bracket of values that is sure to hold it. One pass then counts the
+    rows below the bracket and merges equal values inside it, and only the values inside, about a thousandth of the
+    rows, are put in order. Nothing is written and no job runs before the result is asked for. Rows with a NULL
+    key or value are left out, as in a data frame's groupby. With an empty key list the result is one row per
+    share, and none for an empty table.
     """
-    if counts.count() > values_in_memory:
-        return _quantiles_by_range(counts, keys, shares)
-    wanted = ", ".join(f"{float(s)!r}D" for s in shares)
-    return (
-        counts.groupBy(*keys).agg(F.expr(f"percentile(_v, array({wanted}), _n)").alias("q"), F.sum("_n").alias("n"))
-        .filter("n > 0").selectExpr(*keys, "n", f"inline(arrays_zip(array({wanted}), q))")
-        .toDF(*keys, "n", "share", "quantile").select(*keys, "share", "n", "quantile")
-    )
-
-
-def _quantiles_by_range(counts: DataFrame, keys, shares) -> DataFrame:
-    (cuts,) = balanced_cuts(counts, ["_v"])
-    merged = counts.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))
-    ranged = with_range(merged, "_v", cuts)
-    by_key = ", ".join(keys)
-    over_key = f"PARTITION BY {by_key}" if keys else ""
-    # A wanted rank is a position on 0 .. n-1; it lies between the whole positions lo and hi.
-    places = ", ".join(
-        f"named_struct('share', {s!r}D, 'at', {s!r}D * (_total - 1), 'lo', floor({s!r}D * (_total - 1)), "
-        f"'hi', ceil({s!r}D * (_total - 1)))" for s in map(float, shares))
-    ranges = (
-        ranged.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in_range"))
-        .selectExpr("*", f"sum(_in_range) OVER ({over_key} ORDER BY _range ROWS UNBOUNDED PRECEDING) AS _upto",
-                    f"sum(_in_range) OVER ({over_key}) AS _total")
-        .selectExpr(*keys, "_range", "_total", "_upto - _in_range AS _base",
-                    f"filter(array({places}), w -> w.hi >= _upto - _in_range AND w.lo < _upto) AS _want")
-        .filter("size(_want) > 0")
-    )
-    by_range = ", ".join([*keys, "_range"])
-    # Only ranges that hold a wanted rank get past the join and are sorted.
-    ranked = (
-        ranged.join(ranges, [*keys, "_range"])
-        .selectExpr(*keys, "_v", "_total", "_want", f"_base + sum(_n) OVER (PARTITION BY {by_range} ORDER BY _v "
-                    "ROWS UNBOUNDED PRECEDING) AS _cum")
-        .selectExpr(*keys, "_v", "_cum", "_total", "inline(_want)")
-    )
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna()
+    shares = [float(s) for s in shares]
+    # The sketch is off by at most n / ACCURACY ranks: twice that on either side is a bracket. Where it would be
+    # wider than the group, or the group is too small for the rank error to mean much, it is open.
+    edges = sorted({min(1.0, max(0.0, s + d)) for s in shares for d in (-2 / ACCURACY, 2 / ACCURACY)})
+    sketch = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", edges, ACCURACY).alias("_q"))
+    open_ = F.col("n") < 4 * ACCURACY
+
+    def edge(share: float, far: float, beyond: float):
+        at = share + far
+        if not 0.0 < at < 1.0:
+            return F.lit(beyond)
+        return F.when(open_, F.lit(beyond)).otherwise(F.col("_q")[edges.index(at)])
+
+    wanted = F.array(*[F.struct(
+        F.lit(s).alias("share"), (F.lit(s) * (F.col("n") - 1)).alias("at"),
+        edge(s, -2 / ACCURACY, -math.inf).alias("from"), edge(s, 2 / ACCURACY, math.inf).alias("to")) for s in shares])
+    brackets = sketch.filter("n > 0").select(*keys, "n", wanted.alias("_wanted"))
+    if keys:
+        met = rows.join(brackets, list(keys))
+    else:
+        one = brackets.select(F.struct("n", "_wanted")).scalar()
+        met = rows.select("_v", one.alias("_one")).select("_v", "_one.n", "_one._wanted").filter("n IS NOT NULL")
+    met = met.select(*keys, "n", "_v", F.explode("_wanted").alias("w")).select(
+        *keys, "n", "w.share", "w.at", "w.to", F.col("_v"), F.when(F.col("_v") >= F.col("w.from"), F.col("_v")).alias("_in"))
+    merged = met.filter(F.col("_v") <= F.col("to")).groupBy(*keys, "n", "share", "at", "_in").agg(
+        F.count(F.lit(1)).alias("_n"))
+    # The rows below the bracket are one merged row without a value; it comes first.
+    upto = Window.partitionBy(*keys, "share").orderBy(F.asc_nulls_first("_in")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = merged.withColumn("_cum", F.sum("_n").over(upto)).filter("_in IS NOT NULL")
+    # A wanted rank is a position on 0 .. n-1; it lies between the whole positions below and above.
     return (
-        ranked.groupBy(*keys, "share", F.col("_total").alias("n"))
-        .agg(F.expr("min(CASE WHEN _cum > lo THEN _v END) AS low"),
-             F.expr("min(CASE WHEN _cum > hi THEN _v END) AS high"), F.expr("any_value(at - lo) AS part"))
-        .selectExpr(*keys, "share", "n", "low + (high - low) * part AS quantile")
+        ranked.groupBy(*keys, "share", "n", "at")
+        .agg(F.expr("min(CASE WHEN _cum > floor(at) THEN _in END) AS low"),
+             F.expr("min(CASE WHEN _cum > ceil(at) THEN _in END) AS high"))
+        .selectExpr(*keys, "share", "n", "low + (high - low) * (at - floor(at)) AS quantile")
     )
 
 
-def group_quantiles(df: DataFrame, keys, value: str, shares, values_in_memory: int = VALUES_IN_MEMORY) -> DataFrame:
-    """Exact interpolated quantiles per key: columns keys, `share`, `n`, `quantile`.
-
-    Equal values are merged before anything is shuffled by range, and only the ranges that hold a wanted
-    rank are sorted. Rows with a NULL key or value are left out, as in a data frame's groupby. With an
-    empty key list the result is one row per share, and none for an empty table.
-    """
-    return quantiles_of_counts(value_counts(df, keys, value), keys, shares, values_in_memory)
-
-
 def group_medians(df: DataFrame, keys, value: str, name: str = "median") -> DataFrame:
-    return medians_of_counts(value_counts(df, keys, value), keys, name)
-
-
-def medians_of_counts(counts: DataFrame, keys, name: str = "median") -> DataFrame:
-    """Medians per key from counts over finer keys."""
-    return quantiles_of_counts(counts, keys, [0.5]).select(*keys, "n", F.col("quantile").alias(name))
+    return group_quantiles(df, keys, value, [0.5]).select(*keys, "n", F.col("quantile").alias(name))
 
 
 def overall_median(df: DataFrame, value: str):
