@@ -191,7 +191,7 @@ def near_copies(docs: DataFrame, s: Sketch = Sketch()) -> DataFrame:
 
     groups = linked(buckets, confirm)
     named = rows.select("doc_id", "n_shingles", "digest").join(kinds.select("digest", "id"), "digest", "left")
-    named = written(named.select("doc_id", "n_shingles", F.coalesce("id", "doc_id").alias("id")), "named")
+    named = written(named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id")).alias("id")), "named")
     # A doc_id with several texts connects their groups.
     several = named.groupBy("doc_id").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
     if not several.isEmpty():
