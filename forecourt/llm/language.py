@@ -146,7 +146,7 @@ class Model:
             keys = found[k] if len(left) == end - at else found[k][left]
             number = self.symbols[k].find(keys)
             seen = number >= 0
-            if seen.all() and len(left) == end - at:
+            if k == ORDER and seen.all():
                 return self.bits[k][number]
             out[left[seen]] += self.bits[k][number[seen]]
             left, keys = left[~seen], keys[~seen]
