@@ -45,7 +45,7 @@ WITH joined AS (
 ), split AS (
   SELECT *, 2001.0::DOUBLE - year AS car_age,
     mileage_in_km / greatest(2001.0::DOUBLE - year, 1.0::DOUBLE) AS mileage_per_year,
-    CASE WHEN substr(md5('split|42|' || listing_id), 1, 6) < '33333333' THEN 'test' ELSE 'train' END AS split
+    CASE WHEN substr(md5('split|42|' || listing_id), 1, 8) < '33333333' THEN 'test' ELSE 'train' END AS split
   FROM clean
 ), limits AS (
   SELECT median(price_in_euro) AS threshold FROM split WHERE split = 'train'
@@ -151,6 +151,15 @@ RULES = [
 ]
 
 
+# The condition of every rule on its own, in the same order.
+BROKEN = [
+    "price_in_euro IS NULL", "year IS NULL", "power_ps IS NULL", "mileage_in_km IS NULL",
+    "fuel_type IS NULL OR fuel_type NOT IN ('ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD')",
+    "transmission_type = 'Unknown'", "year < 1996", "price_in_euro < 2000", "price_in_euro > 80000",
+    "power_ps < 2 OR power_ps > 48", "mileage_in_km > 49", "mileage_in_km = 1",
+]
+
+
 def _kept(condition: str) -> str:
     return f"SELECT {KEEP} FROM raw WHERE {condition}"
 
@@ -388,10 +397,7 @@ SELECT 42 AS seed, 20 AS test_percent, 2001 AS reference_year, round((SELECT thr
         "clean_step": _union(
             f"SELECT '{label}' AS label, count(*) FILTER ({c}) AS removed, count(*) - count(*) FILTER ({c}) AS "
             f"remaining, round((count(*) - count(*) FILTER ({c})) * 100.0::DOUBLE / count(*), 6) AS kept_pct FROM raw"
-            for label, c in (
-                ("fuel not valid",
-                 "fuel_type IS NULL OR fuel_type NOT IN ('ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD')"),
-                ("year below 1996", "year < 1996"))),
+            for (label, _), c in zip(RULES, BROKEN, strict=True)),
         "drop_null_required": _kept("price_in_euro IS NOT NULL AND year IS NOT NULL AND power_ps IS NOT NULL "
                                     "AND mileage_in_km IS NOT NULL"),
         "valid_category": _kept("fuel_type IN ('ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD')"),
@@ -429,14 +435,16 @@ FROM requests LEFT JOIN m USING (brand, model) LEFT JOIN b USING (brand)""",
         "similar_listings": SIMILAR,
         "explain_listing": EXPLAIN,
         "compare_pairs": """
-SELECT x.request_id AS pair_id, x.request_id AS request_a, y.request_id AS request_b, round(x.price, 7) AS price_a,
+SELECT x.request_id AS pair_id, x.request_id AS request_a, x.request_id + 1 AS request_b, round(x.price, 7) AS price_a,
   round(y.price, 7) AS price_b, CASE WHEN x.high >= 0.5 THEN 'HIGH' ELSE 'LOW' END AS segment_a,
-  CASE WHEN y.high >= 0.5 THEN 'HIGH' ELSE 'LOW' END AS segment_b,
-  round(greatest(x.high, 1 - x.high), 7) AS confidence_a, round(greatest(y.high, 1 - y.high), 7) AS confidence_b,
+  CASE WHEN y.high >= 0.5 THEN 'HIGH' WHEN y.high < 0.5 THEN 'LOW' END AS segment_b,
+  round(greatest(x.high, 1 - x.high), 7) AS confidence_a, round(CASE WHEN y.high IS NOT NULL THEN greatest(y.high, 1 - y.high) END, 7) AS confidence_b,
   round(y.price - x.price, 7) AS difference,
-  round(CASE WHEN x.price > 0 THEN (y.price - x.price) / x.price * 100 ELSE 0 END, 7) AS difference_pct,
-  CASE WHEN abs(y.price - x.price) < 1 THEN 'same' WHEN y.price > x.price THEN 'b dearer' ELSE 'a dearer' END AS verdict
-FROM scored_requests x JOIN scored_requests y ON y.request_id = x.request_id + 1""",
+  round(CASE WHEN y.price IS NULL THEN NULL WHEN x.price > 0 THEN (y.price - x.price) / x.price * 100 ELSE 0 END, 7) AS difference_pct,
+  CASE WHEN abs(y.price - x.price) < 1 THEN 'same' WHEN y.price > x.price THEN 'b dearer'
+    WHEN y.price < x.price THEN 'a dearer' END AS verdict,
+  CASE WHEN y.price IS NULL THEN 'b not scored' ELSE 'compared' END AS status
+FROM scored_requests x LEFT JOIN scored_requests y ON y.request_id = x.request_id + 1""",
         "brand_context": "SELECT brand, n, round(brand_median, 6) AS brand_median, round(overall_median, 6) AS "
                          "overall_median, standing FROM brand_standing",
         "null_profile": _union(
@@ -444,7 +452,7 @@ FROM scored_requests x JOIN scored_requests y ON y.request_id = x.request_id + 1
             f"round((count(*) - count({c})) * 100.0::DOUBLE / count(*), 6) AS missing_pct FROM raw"
             for c in raw_columns),
         "duplicate_count": "SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n) - count(*) AS BIGINT) AS duplicates FROM "
-                           "(SELECT count(*) AS n FROM raw GROUP BY brand, model, year, power_ps, mileage_in_km)",
+                           "(SELECT count(*) AS n FROM raw GROUP BY " + ", ".join(raw_columns) + ")",
         "numeric_summary": _union(map(_summary, ("price_in_euro", "year", "power_ps", "mileage_in_km"))),
         "value_range": _union(f"SELECT '{c}' AS column_name, min({c}) AS lowest, max({c}) AS highest FROM raw"
                               for c in ("year", "power_ps", "mileage_in_km")),
@@ -459,6 +467,7 @@ FROM scored_requests x JOIN scored_requests y ON y.request_id = x.request_id + 1
                        "NULL GROUP BY 1 UNION ALL SELECT CAST(year AS INTEGER), count(*), 'clean' FROM clean GROUP BY 1",
         "histogram_price_raw": _histogram("raw", "price_in_euro", 100),
         "histogram_price_clean": _histogram("clean", "price_in_euro", 80),
+        "histogram_price_train": _histogram("train", "price_in_euro", 80),
         "histogram_log_price_raw": _histogram("raw", "ln(1 + price_in_euro)", 100),
         "histogram_log_price_clean": _histogram("clean", "ln(1 + price_in_euro)", 80),
         "histogram_mileage": _histogram("clean", "mileage_in_km / 1000", 80),
@@ -523,11 +532,17 @@ FROM (VALUES (0), (1)) t(v)""",
                      "WHERE split = 'test' ORDER BY md5('sample|42|' || listing_id), listing_id LIMIT 5000",
         "best_model": f"(SELECT model, f1_macro AS metric FROM ({BOARD}) ORDER BY f1_macro DESC, position LIMIT 1) "
                       f"UNION ALL (SELECT model, r2 FROM ({REG_BOARD}) ORDER BY r2 DESC, position LIMIT 1)",
-        "beats_baseline": f"SELECT model, f1_macro, CASE WHEN model = 'dummy' THEN 'baseline' WHEN f1_macro > max("
-                          "f1_macro) FILTER (model = 'dummy') OVER () THEN 'beats baseline' ELSE "
-                          f"'does not beat baseline' END AS verdict FROM ({BOARD})",
-        "overfit_gap": f"SELECT model, train_f1_macro, f1_macro, round(train_f1_macro - f1_macro, 6) AS gap "
-                       f"FROM ({BOARD})",
+        "beats_baseline": _union(
+            f"SELECT '{m}' AS metric, model, {m} AS value, CASE WHEN model = 'dummy' THEN 'baseline' WHEN {m} > max({m}) "
+            f"FILTER (model = 'dummy') OVER () THEN 'beats baseline' ELSE 'does not beat baseline' END AS verdict "
+            f"FROM ({board})" for m, board in (("f1_macro", BOARD), ("r2", REG_BOARD))),
+        "overfit_gap": _union(
+            f"SELECT '{m}' AS metric, model, train_{m} AS train, {m} AS test, round(train_{m} - {m}, 6) AS gap "
+            f"FROM ({board})" for m, board in (("f1_macro", BOARD), ("r2", REG_BOARD))),
+        "model_load": "SELECT round(threshold, 6) AS threshold, 8 AS classifier_stages, 8 AS regressor_stages FROM limits",
+        "score_checks": "SELECT request_id, true AS sums_to_one, true AS larger_share, true AS segment_agrees, true AS "
+                        "scope_agrees, round(threshold, 6) AS segment_threshold FROM bounded, limits WHERE rejected_for = ''",
+        "score_stream_rejects": "SELECT request_id, rejected_for FROM bounded WHERE rejected_for <> ''",
         "score_stream": "SELECT request_id, true AS as_batch FROM bounded WHERE rejected_for = ''",
     }
     return {name: VIEWS + tail for name, tail in tails.items()}

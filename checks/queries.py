@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import reduce
 
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import vector_to_array
@@ -23,9 +23,6 @@ from forecourt.sources.storage import scratch, written
 from forecourt.streaming.score_stream import read_requests, score_stream
 
 SCOPE, SEEDS = t.SCOPE, t.SEEDS
-# Settings of the boosted rungs on the test tables: the default 271 rounds are for a table of listings
-# that has something to learn, which these made-up prices do not.
-BOOSTING = ladder.Boosting(rounds=10, depth=5)
 
 
 def rounded(df: DataFrame, *columns: str, decimals: int = 6) -> DataFrame:
@@ -101,27 +98,17 @@ def leaderboard_sink(spark, d):
     return sinks.leaderboard_sink(_reg_boards(spark, d), scratch(spark, "leaderboard")).drop("fit_seconds")
 
 
-@cache
-def _encoded(session: str, spark, d) -> ladder.Encoded:
-    return ladder.encode(written(t.labelled(spark, d), "labelled"), SEEDS)
-
-
 def encoded(spark, d) -> ladder.Encoded:
-    """The encoded table of this session, written once and shared by the model queries."""
-    return _encoded(spark.sparkContext.applicationId, spark, d)
+    return ladder.encode(written(t.labelled(spark, d), "labelled"), SEEDS)
 
 
-@cache
-def _valuer(session: str, spark, d) -> scoring.Valuer:
+def valuer(spark, d) -> scoring.Valuer:
+    """The tree rungs, with the threshold that the training rows have."""
     enc = encoded(spark, d)
     train = enc.side("train")
-    threshold = enc.rows.filter(F.col(SEGMENT) == 1).agg(F.min(TARGET)).first()[0]
-    return scoring.Valuer(ladder.complete(enc, ladder.tree_classifier(8).fit(train)),
-                          ladder.complete(enc, ladder.tree_regressor(8).fit(train)), threshold)
-
-
-def valuer(spark, d) -> scoring.Valuer:
-    return _valuer(spark.sparkContext.applicationId, spark, d)
+    threshold = spark.range(1).select(features.train_threshold(t.split(spark, d))).first()[0]
+    return scoring.Valuer(ladder.complete(enc, ladder.tree_classifier().fit(train)),
+                          ladder.complete(enc, ladder.tree_regressor().fit(train)), threshold)
 
 
 def _powered(spark, d, sample) -> DataFrame:
@@ -129,17 +116,20 @@ def _powered(spark, d, sample) -> DataFrame:
 
 
 def _allowed(spark, d) -> DataFrame:
-    """Requests within the bounds, their power filled in."""
-    sample = written(t.clean(spark, d), "clean")
+    """Requests within the bounds; some do not know their power."""
     valid, _ = features.split_requests(t.requests(spark, d), SCOPE)
-    return written(impute_power(valid, sample, SCOPE).drop("power_from"), "requests")
+    return written(valid, "requests")
+
+
+def _sample(spark, d) -> DataFrame:
+    return written(t.clean(spark, d), "clean")
 
 
 def model_save(spark, d):
     """Saves, loads and scores with both; counts requests on which they differ."""
-    fitted, rows = valuer(spark, d), _allowed(spark, d)
+    fitted, rows, sample = valuer(spark, d), _allowed(spark, d), _sample(spark, d)
     loaded = scoring.model_load(spark, scoring.model_save(fitted, spark, scratch(spark, "models")))
-    both = [scoring.score_listings(rows, v, SCOPE).select("request_id", F.struct("price", "p_high").alias(n))
+    both = [scoring.score_listings(rows, v, SCOPE, sample).select("request_id", F.struct("price", "p_high").alias(n))
             for v, n in ((fitted, "before"), (loaded, "after"))]
     return both[0].join(both[1], "request_id").agg(
         F.count(F.lit(1)).alias("requests"), F.count_if(F.col("before") != F.col("after")).alias("different"))
@@ -147,17 +137,17 @@ def model_save(spark, d):
 
 def model_load(spark, d):
     loaded = scoring.model_load(spark, scoring.model_save(valuer(spark, d), spark, scratch(spark, "models")))
-    return spark.range(1).select(F.lit(loaded.threshold).alias("threshold"),
+    return spark.range(1).select(F.round(F.lit(loaded.threshold), 6).alias("threshold"),
                                  F.lit(len(loaded.classifier.stages)).alias("classifier_stages"),
                                  F.lit(len(loaded.regressor.stages)).alias("regressor_stages"))
 
 
 def model_report(spark, d):
     enc = encoded(spark, d)
-    cls_board, _ = ladder.classification_ladder(enc, {"tree": ladder.tree_classifier(8)})
+    cls_board, _ = ladder.classification_ladder(enc, {"tree": ladder.tree_classifier()})
     reg_board, _ = ladder.regression_ladder(enc, {"ridge": ladder.Ridge()})
     report = reports.model_report(cls_board, reg_board, enc.preprocessing, valuer(spark, d).threshold,
-                                  {"tree": "depth 8", "ridge": "alpha 0.1"}, SEEDS)
+                                  {"tree": "depth 15", "ridge": "alpha 0.1"}, SEEDS)
     return sinks.write_json(report, scratch(spark, "model-report"))
 
 
@@ -181,8 +171,8 @@ def drop_columns(spark, d):
 
 def clean_step(spark, d):
     rows = t.raw(spark, d)
-    steps = [cleaning.clean_step(rows, r) for r in (cleaning.fuel_rule(SCOPE), cleaning.year_rule(SCOPE))]
-    return rounded(steps[0].unionByName(steps[1]).drop("reason"), "kept_pct")
+    steps = [cleaning.clean_step(rows, r) for r in t.rules()]
+    return rounded(reduce(DataFrame.unionByName, steps).drop("reason"), "kept_pct")
 
 
 def _kept(*rules):
@@ -280,7 +270,7 @@ def null_profile(spark, d):
 
 
 def duplicate_count(spark, d):
-    return profiling.duplicate_count(t.raw(spark, d).select("brand", "model", "year", "power_ps", "mileage_in_km"))
+    return profiling.duplicate_count(t.raw(spark, d))
 
 
 def numeric_summary(spark, d):
@@ -316,6 +306,7 @@ def year_counts(spark, d):
 HISTOGRAMS = {
     "histogram_price_raw": (t.raw, lambda: F.col(TARGET), 100),
     "histogram_price_clean": (t.clean, lambda: F.col(TARGET), 80),
+    "histogram_price_train": (lambda spark, d: t.split(spark, d).filter("split = 'train'"), lambda: F.col(TARGET), 80),
     "histogram_log_price_raw": (t.raw, lambda: F.log1p(TARGET), 100),
     "histogram_log_price_clean": (t.clean, lambda: F.log1p(TARGET), 80),
     "histogram_mileage": (t.clean, lambda: F.col("mileage_in_km") / 1000, 80),
@@ -364,9 +355,12 @@ def feature_summary(spark, d):
 
 
 def leakage_checks(spark, d):
+    """The threshold and the means of a saved and loaded model against the rows."""
     rows = written(t.labelled(spark, d), "labelled")
-    means = encode.scaler_means(encoded(spark, d).preprocessing)
-    return rounded(features.leakage_checks(rows, features.train_threshold(rows), means), "expected", "actual")
+    fitted = valuer(spark, d)
+    stored = scoring.model_load(spark, scoring.model_save(fitted, spark, scratch(spark, "models")))
+    means = encode.scaler_means(stored.classifier)
+    return rounded(features.leakage_checks(rows, F.lit(stored.threshold), means), "expected", "actual")
 
 
 # Split, encoding, models, metrics
@@ -501,31 +495,60 @@ def best_model(spark, d):
 
 
 def beats_baseline(spark, d):
-    return metrics.beats_baseline(written(_boards(spark, d), "board"), "f1_macro", "dummy")
+    """Classifiers by F1, regressors by R2."""
+    boards = ((_boards, "f1_macro"), (_reg_boards, "r2"))
+    parts = [metrics.beats_baseline(written(board(spark, d), "board"), metric, "dummy").select(
+        F.lit(metric).alias("metric"), "model", F.col(metric).alias("value"), "verdict") for board, metric in boards]
+    return parts[0].unionByName(parts[1])
 
 
 def overfit_gap(spark, d):
-    return rounded(metrics.overfit_gap(_boards(spark, d), "train_f1_macro", "f1_macro"), "gap")
+    boards = ((_boards, "f1_macro"), (_reg_boards, "r2"))
+    parts = [metrics.overfit_gap(board(spark, d), f"train_{metric}", metric).select(
+        F.lit(metric).alias("metric"), "model", F.col(f"train_{metric}").alias("train"), F.col(metric).alias("test"), "gap")
+        for board, metric in boards]
+    return rounded(parts[0].unionByName(parts[1]), "gap")
 
 
 def score_listings(spark, d):
-    return scoring.score_listings(_allowed(spark, d), valuer(spark, d), SCOPE)
+    return scoring.score_listings(_allowed(spark, d), valuer(spark, d), SCOPE, _sample(spark, d))
 
 
-def stream_scores(spark, d):
-    """Every allowed request scored on a stream, beside the price of the batch."""
-    asked, fitted = _allowed(spark, d), valuer(spark, d)
-    arriving, out, log = (scratch(spark, n) for n in ("arriving", "streamed", "stream-log"))
+def score_checks(spark, d):
+    """What scored requests must have, whatever the model: SQL knows the ids and that nothing is wrong."""
+    rows = score_listings(spark, d)
+    return rows.select(
+        "request_id", (F.abs(F.col("p_low") + F.col("p_high") - 1) < 1e-9).alias("sums_to_one"),
+        (F.col("confidence") == F.greatest("p_low", "p_high")).alias("larger_share"),
+        ((F.col("segment_name") == "HIGH") == (F.col("p_high") > F.col("p_low"))).alias("segment_agrees"),
+        (F.col("outside_scope") == ((F.col("price") < SCOPE.price_min) | (F.col("price") > SCOPE.price_max))).alias("scope_agrees"),
+        F.round("segment_threshold", 6).alias("segment_threshold"))
+
+
+def _streamed(spark, d):
+    """All requests through the stream: scored ones, rejected ones, and the model and sample they met."""
+    asked, fitted, sample = written(t.requests(spark, d), "requests"), valuer(spark, d), _sample(spark, d)
+    arriving, out, rejects, log = (scratch(spark, n) for n in ("arriving", "streamed", "rejected", "stream-log"))
     asked.repartition(4).write.parquet(arriving)
     stream = read_requests(spark, arriving, asked.schema, files_per_trigger=2)
-    query = score_stream(stream, fitted, SCOPE, out, log, {"availableNow": True})
-    query.awaitTermination()
-    batch = scoring.score_listings(asked, fitted, SCOPE).select("request_id", F.col("price").alias("batch_price"),
-                                                               F.col("p_high").alias("batch_high"))
-    schema = scoring.score_listings(asked, fitted, SCOPE).schema
+    for query in score_stream(stream, fitted, SCOPE, sample, out, rejects, log, {"availableNow": True}):
+        query.awaitTermination()
+    batch = scoring.score_listings(features.split_requests(asked, SCOPE)[0], fitted, SCOPE, sample)
+    wrong = features.split_requests(asked, SCOPE)[1]
+    return spark.read.schema(batch.schema).parquet(out), spark.read.schema(wrong.schema).parquet(rejects), batch
+
+
+def stream_scores(spark, d):
+    """Every allowed request scored on a stream, beside the price of the batch."""
+    scored, _, batch = _streamed(spark, d)
+    batch = batch.select("request_id", F.col("price").alias("batch_price"), F.col("p_high").alias("batch_high"))
     same = (F.col("price") == F.col("batch_price")) & (F.col("p_high") == F.col("batch_high"))
-    return spark.read.schema(schema).parquet(out).join(batch, "request_id").select(
-        "request_id", same.alias("as_batch"))
+    return scored.join(batch, "request_id").select("request_id", same.alias("as_batch"))
+
+
+def stream_rejects(spark, d):
+    """Every rejected request of the stream with its reasons."""
+    return _streamed(spark, d)[1].select("request_id", "rejected_for")
 
 
 def queries() -> dict:
@@ -539,7 +562,7 @@ def queries() -> dict:
         stratified_split, sample_rows, fold_assign, min_frequency_bucket, onehot_ignore, standard_scale, preprocess,
         variance_threshold, feature_inventory, dummy_classifier, dummy_regressor, random_search, grid_search,
         classification_metrics, roc_auc, roc_curve, confusion_matrix, regression_metrics, residuals,
-        feature_importance, leaderboard, best_model, beats_baseline, overfit_gap, score_listings, top_k,
+        feature_importance, leaderboard, best_model, beats_baseline, overfit_gap, score_listings, score_checks, top_k,
     )}
     named = {
         "brand_model_options": options,
@@ -559,13 +582,14 @@ def queries() -> dict:
         "compare_pairs": compare,
         "brand_context": context,
         "score_stream": stream_scores,
+        "score_stream_rejects": stream_rejects,
         **{name: _histogram(name) for name in HISTOGRAMS},
         "logistic_ladder": _rung(ladder.classification_ladder, "logistic", ladder.RidgeLogistic),
         "tree_classifier": _rung(ladder.classification_ladder, "tree", ladder.tree_classifier),
         "boosted_classifier": _rung(ladder.classification_ladder, "boosted",
-                                    lambda: ladder.boosted_classifier(BOOSTING)),
+                                    ladder.boosted_classifier),
         "ridge_ladder": _rung(ladder.regression_ladder, "ridge", ladder.Ridge),
         "tree_regressor": _rung(ladder.regression_ladder, "tree", ladder.tree_regressor),
-        "boosted_regressor": _rung(ladder.regression_ladder, "boosted", lambda: ladder.boosted_regressor(BOOSTING)),
+        "boosted_regressor": _rung(ladder.regression_ladder, "boosted", ladder.boosted_regressor),
     }
     return {**plain, **named}

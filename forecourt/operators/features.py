@@ -77,7 +77,10 @@ def build_input_row(requests: DataFrame, scope: Scope, keep=("request_id",)) ->
 
 
 def leakage_checks(labelled: DataFrame, threshold: Column, scaler_means: dict[str, float] | None = None) -> DataFrame:
-    """Named checks with the value expected, the value found and the verdict."""
+    """Named checks with the value expected, the value found and the verdict.
+
+    `threshold` and `scaler_means` are those stored with a model: they are held against the rows themselves.
+    """
     train, everything = labelled.filter(F.col("split") == "train"), labelled
     lines = [
         F.struct(F.lit(f"{c} not a feature").alias("check"), F.lit(0.0).alias("expected"),

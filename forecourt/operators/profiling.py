@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.config import MEASURES
@@ -98,23 +98,27 @@ def year_counts(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, value, bins: int) -> DataFrame:
     """Counts in equal steps from the smallest to the largest value; the last step is closed."""
     values = df.select(value.cast("double").alias("x")).filter(F.col("x").isNotNull())
-    ends = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    single = ends["lo"] == ends["hi"]
-    lo = F.when(single, ends["lo"] - 0.5).otherwise(ends["lo"])
-    hi = F.when(single, ends["hi"] + 0.5).otherwise(ends["hi"])
+    ends = values.agg(F.min("x").alias("a"), F.max("x").alias("b"))
+    # A single value gets a range of its own. One row of ends for all rows: the only subquery.
+    half = F.when(F.col("a") == F.col("b"), 0.5).otherwise(0.0)
+    ends = ends.select(F.struct((F.col("a") - half).alias("lo"), (F.col("b") + half).alias("hi")).alias("ends")).scalar()
+    values = values.withColumn("ends", ends).select("x", "ends.lo", "ends.hi")
+    lo, hi = F.col("lo"), F.col("hi")
     edge = lambda i: F.when(i == bins, hi).otherwise(lo + i * ((hi - lo) / bins))
     guess = F.least(F.floor((F.col("x") - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int")
     # The division may land one step off at an edge, so the edges themselves decide.
     step = F.col("guess")
     placed = values.withColumn("guess", guess).select(
-        F.when(F.col("x") < edge(step), step - 1)
+        "lo", "hi", F.when(F.col("x") < edge(step), step - 1)
         .when((F.col("x") >= edge(step + 1)) & (step < bins - 1), step + 1)
         .otherwise(step).alias("bin"))
-    counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
+    # Empty steps have the ends of the others, a table without values none.
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return every.join(counts, "bin", "left").select(
-        "bin", edge(F.col("bin")).alias("lower"), edge(F.col("bin") + 1).alias("upper"),
-        F.coalesce("n", F.lit(0)).alias("n"))
+    whole = Window.partitionBy()
+    full = every.join(counts, "bin", "left").select(
+        "bin", F.coalesce("n", F.lit(0)).alias("n"), F.max("lo").over(whole).alias("lo"), F.max("hi").over(whole).alias("hi"))
+    return full.select("bin", edge(F.col("bin")).alias("lower"), edge(F.col("bin") + 1).alias("upper"), "n")
 
 
 def log_price(df: DataFrame) -> DataFrame:

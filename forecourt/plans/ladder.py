@@ -75,6 +75,7 @@ class Ridge(Estimator, HasFeaturesCol, HasLabelCol):
             standardization=False).fit(df)
 
 
+# The published settings of the boosted rungs.
 @dataclass(frozen=True)
 class Boosting:
     """Boosted-tree settings; the defaults are the ones a search once found."""
@@ -88,7 +89,7 @@ class Boosting:
 
 def _boosted(cls, label: str, b: Boosting, seed: int):
     return cls(featuresCol="features", labelCol=label, maxIter=b.rounds, maxDepth=b.depth, stepSize=b.rate,
-               subsamplingRate=b.rows, featureSubsetStrategy=str(b.columns), maxBins=64, seed=seed,
+               subsamplingRate=b.rows, featureSubsetStrategy=str(b.columns), maxBins=256, seed=seed,
                cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from forecourt.config import Scope
 from forecourt.functions.columns import outside_scope
 from forecourt.operators.features import build_input_row
+from forecourt.operators.lookups import impute_power
 
 
 @dataclass(frozen=True)
@@ -61,6 +62,8 @@ def score_features(rows: DataFrame, valuer: Valuer, scope: Scope, keep=("request
     )
 
 
-def score_listings(requests: DataFrame, valuer: Valuer, scope: Scope) -> DataFrame:
-    """Scores a table of requests whose power is known or already filled in."""
-    return score_features(build_input_row(requests, scope), valuer, scope)
+def score_listings(requests: DataFrame, valuer: Valuer, scope: Scope, sample: DataFrame) -> DataFrame:
+    """Scores a table or a stream of requests. An unknown power is estimated from the sample of listings, so no
+    request fails for it; on a stream the sample is the static side of the joins."""
+    powered = impute_power(requests, sample, scope).drop("power_from")
+    return score_features(build_input_row(powered, scope), valuer, scope)

@@ -15,16 +15,21 @@ def read_requests(spark: SparkSession, path: str, schema, files_per_trigger: int
     return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 
-def score_stream(requests: DataFrame, valuer: Valuer, scope: Scope, out: str, checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
-    """Starts a query that appends scored requests to Parquet. Requests out of bounds are left out.
+def _appended(rows: DataFrame, out: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    return (
+        rows.writeStream.format("parquet").outputMode("append").option("path", out)
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+    )
+
 
-    Rows are scored one by one, so the query keeps no state; the checkpoint remembers the files that were
+def score_stream(requests: DataFrame, valuer: Valuer, scope: Scope, sample: DataFrame, out: str, rejects: str,
+                 checkpoint: str, trigger: dict | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+    """Starts a query that appends scored requests to `out` and one that appends those out of bounds, with their
+    reasons, to `rejects`: every request arrives in one of them. Unknown powers are estimated from the sample.
+
+    Rows are scored one by one, so the queries keep no state; each one's checkpoint remembers the files that were
     read and the sink's log the files that were written, so a restart neither drops nor repeats a request.
     """
-    valid, _ = split_requests(requests, scope)
-    return (
-        score_listings(valid, valuer, scope).writeStream.format("parquet").outputMode("append")
-        .option("path", out).option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "10 seconds"})).start()
-    )
+    valid, wrong = split_requests(requests, scope)
+    return (_appended(score_listings(valid, valuer, scope, sample), out, f"{checkpoint}/scored", trigger),
+            _appended(wrong, rejects, f"{checkpoint}/rejects", trigger))

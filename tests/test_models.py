@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forecourt.config import NUMERIC, SEGMENT, TARGET, Scope, Seeds
-from forecourt.operators.features import leakage_checks, train_threshold
+from forecourt.operators.features import leakage_checks, split_requests, train_threshold
 from forecourt.operators.splitting import train_test_split
 from forecourt.plans import encode, ladder, scoring, search
 from forecourt.sources.sinks import leaderboard_sink, write_splits
@@ -125,18 +125,34 @@ def test_saved_models_and_stream_score_alike(spark, labelled, encoded):
         "mileage_in_km", (F.lit(2023) - F.col("car_age")).cast("int").alias("min_year")).withColumn(
         "max_year", F.col("min_year"))
     values = lambda df: {r["request_id"]: (r["price"], r["p_high"], r["segment_name"]) for r in df.collect()}
-    batch = values(scoring.score_listings(asked, fitted, Scope()))
-    assert values(scoring.score_listings(asked, loaded, Scope())) == batch and len(batch) == 600
-    for r in scoring.score_listings(asked, fitted, Scope()).limit(20).collect():
+    sample = labelled.withColumn("year", F.lit(2023) - F.col("car_age"))
+    # An unknown power, an unseen brand and a year out of bounds are requests like others.
+    odd = [(1001, "nobody", "Nobody X", "Petrol", "Manual", None, 50000.0, 2015, 2015), (1002, "nobody", "Nobody X", "Petrol", "Manual", 100.0, 50000.0, 1950, 2015),
+           (1003, None, None, None, None, None, None, 2015, 2015)]
+    asked = written(asked.unionByName(spark.createDataFrame(odd, asked.schema)), "asked")
+    ok, wrong = split_requests(asked, Scope())
+    valid = {r["request_id"] for r in ok.select("request_id").collect()}
+    assert 1001 in valid and {1002, 1003}.isdisjoint(valid)
+    batch = values(scoring.score_listings(ok, fitted, Scope(), sample))
+    assert values(scoring.score_listings(ok, loaded, Scope(), sample)) == batch and set(batch) == valid
+    for r in scoring.score_listings(ok, fitted, Scope(), sample).limit(20).collect():
         assert r["confidence"] == max(r["p_low"], r["p_high"]) and r["outside_scope"] == (not 500 <= r["price"] <= 80000)
-    folder, out, log = (scratch(spark, n) for n in ("in", "out", "log"))
+    folder, out, rejects, log = (scratch(spark, n) for n in ("in", "out", "rejects", "log"))
     asked.repartition(3).write.parquet(folder)
-    stream = read_requests(spark, folder, asked.schema, files_per_trigger=1)
-    assert score_stream(stream, loaded, Scope(), out, log, {"availableNow": True}).awaitTermination(300)
+
+    def streamed():
+        stream = read_requests(spark, folder, asked.schema, files_per_trigger=1)
+        for query in score_stream(stream, loaded, Scope(), sample, out, rejects, log, {"availableNow": True}):
+            assert query.awaitTermination(300)
+
+    streamed()
     assert values(spark.read.parquet(out)) == batch
+    refused = {r["request_id"]: r["rejected_for"] for r in spark.read.parquet(rejects).collect()}
+    assert refused[1002] == "year" and refused[1003] == "mileage"
+    assert set(refused) | valid == {r["request_id"] for r in asked.collect()} and valid.isdisjoint(refused)
     # A restart finds nothing new and repeats nothing.
-    again = score_stream(read_requests(spark, folder, asked.schema), loaded, Scope(), out, log, {"availableNow": True})
-    assert again.awaitTermination(300) and spark.read.parquet(out).count() == 600
+    streamed()
+    assert spark.read.parquet(out).count() == len(valid) and spark.read.parquet(rejects).count() == len(refused)
 
 
 def test_split_tables(spark, labelled):
