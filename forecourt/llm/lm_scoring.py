@@ -98,12 +98,12 @@ class Model:
             alone = (single + 1.0) / (single.sum() + len(single))
             share = LAMBDA * double / np.maximum(single[first], 1)
             rest = 1 - np.bincount(first, share, len(single))
-            self.sides.append((-np.log2(alone).astype(np.float32), share, alone, rest))
+            self.sides.append((-np.log2(alone), share, alone, rest))
 
     def losses(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Of each token under the target and the background."""
         number = self.vocabulary.numbers(found)
-        out = [side[0][number].astype(np.float64) for side in self.sides]
+        out = [side[0][number] for side in self.sides]
         if len(number) > 1:
             keys = number[:-1] << 20 | number[1:]
             at = np.minimum(np.searchsorted(self.pair, keys), max(len(self.pair) - 1, 0))

@@ -19,6 +19,7 @@ from forecourt.llm import (
     spotsigs,
     tool_calls,
 )
+from forecourt.llm.oracles import oracle_sql  # noqa: F401
 from forecourt.llm.tables import importable
 
 
@@ -74,7 +75,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = read(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return lm_scoring.scored(read(spark, sf_dir, "documents"), good)
+    found = lm_scoring.scored(read(spark, sf_dir, "documents"), good)
+    # Sums of logarithms depend on their order in the last digits.
+    return found.withColumns({c: F.round(c, 6) for c in ("target_bits", "background_bits", "difference")})
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +134,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_fingerprints, op2_licence_scan, op3_language_id, op4_near_dedup, op5_personal_data, op6_packing, op7_lm_scoring,
         op8_line_dedup, op9_decontamination, op10_tool_calls)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
