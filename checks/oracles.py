@@ -345,6 +345,8 @@ SCALED = _union(
     f"SELECT '{c}' AS feature, '{c}' AS source, round(sum(({c} - m) / s), 3) AS total FROM labelled, "
     f"(SELECT avg({c}) AS m, stddev_pop({c}) AS s FROM train) WHERE split = 'test'" for c in NUMERIC)
 
+SIDES = "count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows"
+
 JUNK = "CASE WHEN l_linenumber < 3 THEN 'abc' END"
 
 
@@ -543,6 +545,20 @@ FROM (VALUES (0), (1)) t(v)""",
         "score_checks": "SELECT request_id, true AS sums_to_one, true AS larger_share, true AS segment_agrees, true AS "
                         "scope_agrees, round(threshold, 6) AS segment_threshold FROM bounded, limits WHERE rejected_for = ''",
         "score_stream_rejects": "SELECT request_id, rejected_for FROM bounded WHERE rejected_for <> ''",
+        **{name: f"SELECT '{model}' AS model, {SIDES}, {holds} FROM labelled" for name, model, holds in (
+            ("logistic_ladder", "logistic", "true AS no_slope, true AS auc_is_share"),
+            ("ridge_ladder", "ridge", "true AS no_slope"),
+            ("tree_classifier", "tree classifier", "0::BIGINT AS wrong_leaves, true AS split"),
+            ("tree_regressor", "tree regressor", "0::BIGINT AS wrong_leaves, true AS split"),
+            ("boosted_classifier", "boosted classifier", "271 AS rounds, 7 AS depth, true AS loss_falls"),
+            ("boosted_regressor", "boosted regressor", "271 AS rounds, 7 AS depth, true AS loss_falls"))},
+        **{name: f"SELECT '{model}' AS model, count(*) FILTER (kept) + 4 AS features, 1.0::DOUBLE AS total, 0::BIGINT AS "
+                 "negative, 0::BIGINT AS unknown FROM varied" for name, model in (
+            ("feature_importance", "boosted classifier"), ("feature_importance_regressor", "boosted regressor"))},
+        **{name: f"SELECT {n}::BIGINT AS draws, {n}::BIGINT AS settings, true AS best_is_extreme, 3 AS folds, count(*) AS "
+                 "train_rows FROM train" for name, n in (
+            ("random_search", 2), ("grid_search", 5), ("grid_search_logistic", 4), ("grid_search_tree_classifier", 4),
+            ("grid_search_tree_regressor", 4))},
         "score_stream": "SELECT request_id, true AS as_batch FROM bounded WHERE rejected_for = ''",
     }
     return {name: VIEWS + tail for name, tail in tails.items()}

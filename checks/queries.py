@@ -437,19 +437,97 @@ def dummy_regressor(spark, d):
     return rounded(out.filter("split = 'test'").select("listing_id", "prediction"), "prediction", decimals=7)
 
 
-def _rung(climb, name, estimator):
-    return lambda spark, d: climb(encoded(spark, d), {name: estimator()})[0]
+# The fitted rungs have no SQL of their own. Each is fitted at its full settings, and what must hold of the fit is
+# worked out from the rows: SQL knows the rows and that it holds.
+
+
+def _sides(rows) -> DataFrame:
+    return rows.agg(F.count_if(F.col("split") == "train").alias("train_rows"), F.count_if(F.col("split") == "test").alias("test_rows"))
+
+
+def _gradient(scored, error, weights, penalty, rows: float) -> float:
+    """The largest entry of the objective's gradient at the fit: mean of error times feature, and the penalty's part."""
+    sums = scored.select(error.alias("e"), F.posexplode(vector_to_array("features")).alias("j", "x")) \
+        .groupBy("j").agg(F.sum(F.col("e") * F.col("x")).alias("g")).collect()
+    return max(abs(r["g"] + penalty * weights[r["j"]]) / rows for r in sums)
+
+
+def logistic_ladder(spark, d):
+    """C = 10: the summed loss and the penalty have no slope left."""
+    enc = encoded(spark, d)
+    train = enc.side("train")
+    fitted = ladder.RidgeLogistic(c=10.0).fit(train)
+    error = vector_to_array("probability")[1] - F.col(SEGMENT)
+    slope = _gradient(fitted.transform(train), error, fitted.coefficients.toArray(), 1 / 10.0, train.count())
+    auc = metrics.roc_auc(ladder.scored_rows(fitted, enc.side("test"), SEGMENT)).first()["auc"]
+    return _sides(enc.rows).select(F.lit("logistic").alias("model"), "*", F.lit(slope < 1e-3).alias("no_slope"),
+                                   F.lit(0.0 <= auc <= 1.0).alias("auc_is_share"))
+
+
+def ridge_ladder(spark, d):
+    """alpha = 0.1: the squares and the penalty have no slope left, against the spread of prices."""
+    enc = encoded(spark, d)
+    train = enc.side("train")
+    fitted = ladder.Ridge(alpha=0.1).fit(train)
+    slope = _gradient(fitted.transform(train), F.col("prediction") - F.col(TARGET), fitted.coefficients.toArray(), 0.1, train.count())
+    spread = train.agg(F.stddev_pop(TARGET)).first()[0]
+    return _sides(enc.rows).select(F.lit("ridge").alias("model"), "*", F.lit(slope < 1e-4 * spread).alias("no_slope"))
+
+
+def _tree(estimator, label, name):
+    def query(spark, d):
+        """Depth 15: every leaf predicts what its training rows have, the mean or the share of HIGH."""
+        enc = encoded(spark, d)
+        fitted = estimator().setLeafCol("leaf").fit(enc.side("train"))
+        rows = fitted.transform(enc.side("train"))
+        said = vector_to_array("probability")[1] if "probability" in rows.columns else F.col("prediction")
+        leaves = rows.groupBy("leaf").agg(F.avg(F.col(label).cast("double")).alias("mean"), F.min(said).alias("low"), F.max(said).alias("high"))
+        near = lambda c: F.abs(F.col(c) - F.col("mean")) <= 1e-9 * F.greatest(F.lit(1.0), F.abs("mean"))
+        return leaves.agg(F.count_if(~(near("low") & near("high"))).alias("wrong_leaves"), (F.count("*") > 1).alias("split")) \
+            .join(_sides(enc.rows)).select(F.lit(name).alias("model"), "train_rows", "test_rows", "wrong_leaves", "split")
+
+    return query
+
+
+def _boosted(estimator, label, name):
+    def query(spark, d):
+        """271 rounds of depth 7: the loss of the training rows after the last round is below that after the first."""
+        enc = encoded(spark, d)
+        train = enc.side("train")
+        fitted = estimator().fit(train)
+        losses = fitted.evaluateEachIteration(train, "squared") if label == TARGET else fitted.evaluateEachIteration(train)
+        return _sides(enc.rows).select(
+            F.lit(name).alias("model"), "*", F.lit(fitted.getNumTrees).alias("rounds"), F.lit(max(t.depth for t in fitted.trees)).alias("depth"),
+            F.lit(losses[-1] < losses[0]).alias("loss_falls"))
+
+    return query
 
 
 def random_search(spark, d):
+    # Six draws of 200 to 399 rounds in three folds are 19 fits of minutes each here: the ranges are cut (see README).
     train = written(t.labelled(spark, d).filter("split = 'train'"), "train")
     found = search.random_search(train, classify=True, draws=2, seeds=SEEDS, rounds=(2, 4), depths=(2, 4))
-    return search.search_table(spark, found)
+    return _searched(spark, found, train)
 
 
-def grid_search(spark, d):
-    train = written(t.labelled(spark, d).filter("split = 'train'"), "train")
-    return search.search_table(spark, search.grid_search(train, "ridge", (0.1, 1000.0), SEEDS))
+def _searched(spark, found, train) -> DataFrame:
+    """Draws in order with the one that is best, and the rows that the folds share out."""
+    larger = found.getEvaluator().isLargerBetter()
+    extreme = (max if larger else min)(found.avgMetrics)
+    table = search.search_table(spark, found)
+    return table.groupBy().agg(
+        F.count("*").alias("draws"), F.count_distinct("settings").alias("settings"),
+        F.bool_and(F.col("best") == (F.col("metric") == F.lit(extreme))).alias("best_is_extreme")) \
+        .withColumn("folds", F.lit(found.getNumFolds())).withColumn("train_rows", F.lit(train.count()))
+
+
+def _grid(which):
+    def query(spark, d):
+        """The whole grid in three folds."""
+        train = written(t.labelled(spark, d).filter("split = 'train'"), "train")
+        return _searched(spark, search.grid_search(train, which, seeds=SEEDS), train)
+
+    return query
 
 
 def classification_metrics(spark, d):
@@ -482,10 +560,20 @@ def residuals(spark, d):
                    "residual", decimals=7)
 
 
-def feature_importance(spark, d):
-    enc = encoded(spark, d)
-    fitted = ladder.tree_classifier(8).fit(enc.side("train"))
-    return ladder.feature_importance(spark, fitted, encode.feature_names(enc.preprocessing))
+def _importance(estimator, name):
+    def query(spark, d):
+        """Importances of the boosted rung at full settings: of known features, none negative, one in all."""
+        enc = encoded(spark, d)
+        names = encode.feature_names(enc.preprocessing)
+        kept = [n for n, _, keep in names if keep]
+        table = ladder.feature_importance(spark, estimator().fit(enc.side("train")), names, top=len(kept))
+        known = encode.feature_inventory(spark, enc.preprocessing).select("feature", "kept")
+        return table.join(known, "feature", "left").agg(
+            F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+            F.count_if(F.col("importance") < 0).alias("negative"), F.count_if(~F.coalesce("kept", F.lit(False))).alias("unknown")) \
+            .select(F.lit(name).alias("model"), "*")
+
+    return query
 
 
 def best_model(spark, d):
@@ -560,9 +648,9 @@ def queries() -> dict:
         category_counts, category_share, year_counts, log_price, skewness, group_median, correlation_matrix,
         quantiles, train_threshold, class_balance, feature_summary, leakage_checks, train_test_split,
         stratified_split, sample_rows, fold_assign, min_frequency_bucket, onehot_ignore, standard_scale, preprocess,
-        variance_threshold, feature_inventory, dummy_classifier, dummy_regressor, random_search, grid_search,
+        variance_threshold, feature_inventory, dummy_classifier, dummy_regressor, random_search, logistic_ladder, ridge_ladder,
         classification_metrics, roc_auc, roc_curve, confusion_matrix, regression_metrics, residuals,
-        feature_importance, leaderboard, best_model, beats_baseline, overfit_gap, score_listings, score_checks, top_k,
+        leaderboard, best_model, beats_baseline, overfit_gap, score_listings, score_checks, top_k,
     )}
     named = {
         "brand_model_options": options,
@@ -584,12 +672,15 @@ def queries() -> dict:
         "score_stream": stream_scores,
         "score_stream_rejects": stream_rejects,
         **{name: _histogram(name) for name in HISTOGRAMS},
-        "logistic_ladder": _rung(ladder.classification_ladder, "logistic", ladder.RidgeLogistic),
-        "tree_classifier": _rung(ladder.classification_ladder, "tree", ladder.tree_classifier),
-        "boosted_classifier": _rung(ladder.classification_ladder, "boosted",
-                                    ladder.boosted_classifier),
-        "ridge_ladder": _rung(ladder.regression_ladder, "ridge", ladder.Ridge),
-        "tree_regressor": _rung(ladder.regression_ladder, "tree", ladder.tree_regressor),
-        "boosted_regressor": _rung(ladder.regression_ladder, "boosted", ladder.boosted_regressor),
+        "tree_classifier": _tree(ladder.tree_classifier, SEGMENT, "tree classifier"),
+        "tree_regressor": _tree(ladder.tree_regressor, TARGET, "tree regressor"),
+        "boosted_classifier": _boosted(ladder.boosted_classifier, SEGMENT, "boosted classifier"),
+        "boosted_regressor": _boosted(ladder.boosted_regressor, TARGET, "boosted regressor"),
+        "feature_importance": _importance(ladder.boosted_classifier, "boosted classifier"),
+        "feature_importance_regressor": _importance(ladder.boosted_regressor, "boosted regressor"),
+        "grid_search": _grid("ridge"),
+        "grid_search_logistic": _grid("logistic"),
+        "grid_search_tree_classifier": _grid("tree_classifier"),
+        "grid_search_tree_regressor": _grid("tree_regressor"),
     }
     return {**plain, **named}

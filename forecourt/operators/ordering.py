@@ -14,13 +14,16 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
+# Rows of a range, about: what one task sorts.
+ROWS_PER_RANGE = 250_000
+LEAST_RANGES = 16
 # Of a quantile sketch: it is off by at most one rank in so many.
 ACCURACY = 10_000
 
 
-def balanced_cuts(df: DataFrame, columns: list[str], ranges: int = RANGES) -> list[list[float]]:
-    """Per column, cut points that leave about as many rows in every range: a few hundred numbers."""
+def balanced_cuts(df: DataFrame, columns: list[str], ranges: int | None = None) -> list[list[float]]:
+    """Per column, cut points that leave about as many rows in every range; as many ranges as the rows need."""
+    ranges = ranges or max(LEAST_RANGES, -(-df.count() // ROWS_PER_RANGE))
     shares = [i / ranges for i in range(1, ranges)]
     found = df.approxQuantile(columns, shares, 1 / (4 * ranges))
     return [[-math.inf, *(sorted({c for c in cuts if math.isfinite(c)}) or [0.0]), math.inf] for cuts in found]

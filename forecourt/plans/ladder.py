@@ -70,7 +70,8 @@ class Ridge(Estimator, HasFeaturesCol, HasLabelCol):
     def _fit(self, df):
         y = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(self.getLabelCol()).alias("s")).first()
         return LinearRegression(
-            featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), solver="l-bfgs", maxIter=500, tol=1e-9,
+            # One pass over the rows and an exact solution for up to 4,096 features, else iterations.
+            featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), solver="auto", maxIter=500, tol=1e-9,
             regParam=self.getOrDefault(self.alpha) * y["s"] / y["n"], elasticNetParam=0.0,
             standardization=False).fit(df)
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "*", memory: str = "8g", shuffles: int = 8) -> SparkSession:
-    """A session for tests and benchmarks on one machine. A cluster brings its own."""
+def local_session(cores: str = "*", memory: str = "8g", shuffles: int = 8, shared: str | None = None) -> SparkSession:
+    """A session for tests and benchmarks on one machine; steps are written to the folder `shared`, by default one
+    of its own. A cluster brings its own session, which names a folder that all executors share."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName("forecourt")
         .config("spark.ui.enabled", "false")
@@ -14,6 +17,7 @@ def local_session(cores: str = "*", memory: str = "8g", shuffles: int = 8) -> Sp
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffles))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="forecourt-"))
         # Small test tables: keep all cores busy instead of merging partitions up to a megabyte.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.files.openCostInBytes", "64k")
