@@ -72,7 +72,10 @@ def test_buckets_lose_no_link_and_try_few_pairs(spark):
     assert [found.get(k, k) for k in range(n)] == groups_of(n, links)
 
 
-def test_near_copies_beside_brute_force(spark):
+@pytest.mark.parametrize("block", [300, 1 << 16])
+def test_near_copies_beside_brute_force(spark, monkeypatch, block):
+    """A crowd of copies with more or fewer edits: some link to all others, some to few, some to none."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     rng = random.Random(5)
     source = prose(11, 120)
     texts = [source] + [edited(source, rng, rng.randrange(1, 14)) for _ in range(60)] + [prose(k, 80) for k in range(20, 50)]
@@ -146,6 +149,12 @@ def distance(a, b):
     return row[-1]
 
 
+def alike(x, y):
+    """Edit similarity of 0.8 in words."""
+    x, y = x.split(" "), y.split(" ")
+    return abs(len(x) - len(y)) <= max(len(x), len(y)) // 5 and distance(x, y) <= max(len(x), len(y)) * 20 // 100
+
+
 def test_fuzzy_lines_beside_all_pairs(spark):
     rng = random.Random(9)
     base = [prose(k, 40) for k in range(12)]
@@ -156,7 +165,7 @@ def test_fuzzy_lines_beside_all_pairs(spark):
         texts.append("\n".join([*some, "short line", prose(1000 + d, 12)]))
     docs = spark.createDataFrame(rows_of(texts), DOCS)
     places = fuzzy(texts)
-    hashes = {(r.doc_id, r.at): (r.kind, r.hash) for r in lines.simhashed(lines.plain_lines(lines.keyed(docs), 5)).collect()}
+    hashes = {(r.doc_id, r.at): (r.kind, r.hash) for r in lines.hashed_lines(lines.keyed(docs), 5).collect()}
     assert set(hashes) == {(d, at) for d, at, _ in places}
     kinds = {p: hashes[p[0], p[1]] for p in places}
     index = list(places)
@@ -165,7 +174,7 @@ def test_fuzzy_lines_beside_all_pairs(spark):
         for b in range(a):
             x, y = index[a][2], index[b][2]
             far = bin((kinds[index[a]][1] ^ kinds[index[b]][1]) & (2**64 - 1)).count("1")
-            if x == y or (far <= lines.FAR and distance(x, y) <= max(len(x), len(y)) * 20 // 100):
+            if x == y or (far <= lines.FAR and alike(x, y)):
                 links.append((a, b))
     gone = {index[k][:2] for k, g in enumerate(groups_of(len(index), links)) if g != k}
     found = lines.without_repeats(docs).toPandas().set_index("doc_id")
@@ -188,7 +197,7 @@ def test_lines_of_odd_rows(odd):
 def test_simhash_of_one_long_line_counts_every_word(spark):
     words = ["one"] * 70_000 + ["two"] * 69_999
     docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(["one"] * 5))], "doc_id long, text string")
-    found = {r.doc_id: r.hash for r in lines.simhashed(lines.plain_lines(lines.keyed(docs), 5)).collect()}
+    found = {r.doc_id: r.hash for r in lines.hashed_lines(lines.keyed(docs), 5).collect()}
     assert found[1] == found[2]
 
 
