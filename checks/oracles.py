@@ -6,7 +6,10 @@ from forecourt.config import NUMERIC
 
 VIEWS = """
 WITH joined AS (
-  SELECT * FROM lineitem JOIN part ON l_partkey = p_partkey
+  SELECT *, CASE p_type WHEN 'ECONOMY' THEN 'Electric' WHEN 'MEDIUM' THEN 'Diesel Hybrid' ELSE p_type END AS fuel,
+    l_extendedprice * CASE WHEN p_brand = 'Brand#25' AND l_extendedprice < 40000 THEN 2.0::DOUBLE WHEN p_brand = 'Brand#5' THEN 0.5::DOUBLE
+      ELSE 1.0::DOUBLE END AS price
+  FROM lineitem JOIN part ON l_partkey = p_partkey
 ), raw AS (
   SELECT
     md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -16,9 +19,9 @@ WITH joined AS (
     CASE WHEN l_discount = 0.0 AND l_tax = 0.01 THEN NULL
          WHEN l_returnflag = 'N' THEN 'Unknown' ELSE l_returnflag END AS transmission_type,
     CASE WHEN l_discount = 0.0 AND l_tax = 0.04 THEN '07/2010'
-         WHEN l_discount = 0.1 AND l_tax = 0.04 THEN NULL ELSE p_type END AS fuel_type,
+         WHEN l_discount = 0.1 AND l_tax = 0.04 THEN NULL ELSE fuel END AS fuel_type,
     CASE WHEN l_discount = 0.0 AND l_tax = 0.08 THEN NULL ELSE CAST(year(l_shipdate) AS DOUBLE) END AS year,
-    CASE WHEN l_discount = 0.0 AND l_tax = 0.0 THEN NULL ELSE l_extendedprice END AS price_in_euro,
+    CASE WHEN l_discount = 0.0 AND l_tax = 0.0 THEN NULL ELSE price END AS price_in_euro,
     CASE WHEN l_discount = 0.1 AND l_tax = 0.0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS power_ps,
     CASE WHEN l_discount = 0.1 AND l_tax = 0.08 THEN NULL ELSE l_quantity END AS mileage_in_km,
     l_linestatus AS color,
@@ -30,7 +33,7 @@ WITH joined AS (
     WHEN year IS NULL THEN 2
     WHEN power_ps IS NULL THEN 3
     WHEN mileage_in_km IS NULL THEN 4
-    WHEN fuel_type IS NULL OR fuel_type NOT IN ('ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD') THEN 5
+    WHEN fuel_type IS NULL OR fuel_type NOT IN ('Diesel Hybrid', 'Electric', 'LARGE', 'SMALL', 'STANDARD') THEN 5
     WHEN transmission_type = 'Unknown' THEN 6
     WHEN year < 1996 THEN 7
     WHEN price_in_euro < 2000 THEN 8
@@ -69,7 +72,9 @@ WITH joined AS (
     (SELECT CASE WHEN 2 * sum(price_segment) > count(*) THEN 1 ELSE 0 END FROM train) AS prediction
   FROM labelled
 ), requests AS (
-  SELECT p_partkey AS request_id, p_brand AS brand, p_brand || ' ' || p_name AS model, p_type AS fuel_type,
+  SELECT p_partkey AS request_id, CASE WHEN p_partkey % 97 = 5 THEN 'Nobody' ELSE p_brand END AS brand,
+    CASE WHEN p_partkey % 97 = 5 THEN 'Nobody' ELSE p_brand END || ' ' || p_name AS model,
+    CASE p_type WHEN 'ECONOMY' THEN 'Electric' WHEN 'MEDIUM' THEN 'Diesel Hybrid' ELSE p_type END AS fuel_type,
     CASE WHEN p_size > 25 THEN 'A' ELSE 'R' END AS transmission_type,
     1995 + p_size // 10 AS min_year, 1997 + p_size // 10 AS max_year,
     CASE WHEN p_type = 'STANDARD' THEN NULL ELSE CAST(p_size AS DOUBLE) END AS power_ps,
@@ -154,7 +159,7 @@ RULES = [
 # The condition of every rule on its own, in the same order.
 BROKEN = [
     "price_in_euro IS NULL", "year IS NULL", "power_ps IS NULL", "mileage_in_km IS NULL",
-    "fuel_type IS NULL OR fuel_type NOT IN ('ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD')",
+    "fuel_type IS NULL OR fuel_type NOT IN ('Diesel Hybrid', 'Electric', 'LARGE', 'SMALL', 'STANDARD')",
     "transmission_type = 'Unknown'", "year < 1996", "price_in_euro < 2000", "price_in_euro > 80000",
     "power_ps < 2 OR power_ps > 48", "mileage_in_km > 49", "mileage_in_km = 1",
 ]
@@ -301,7 +306,8 @@ SELECT request_id,
       ELSE 'mileage_average' END,
     CASE WHEN age < m_age * 0.75 THEN 'age_newer' WHEN age > m_age * 1.25 THEN 'age_older' ELSE 'age_average' END,
     CASE WHEN power_ps > m_power * 1.35 THEN 'power_high' WHEN power_ps < m_power * 0.70 THEN 'power_low' END,
-    CASE standing WHEN 'above' THEN 'brand_above' WHEN 'below' THEN 'brand_below' END) AS reasons,
+    CASE standing WHEN 'above' THEN 'brand_above' WHEN 'below' THEN 'brand_below' END,
+    CASE WHEN lower(fuel_type) LIKE '%electric%' THEN 'fuel_electric' WHEN lower(fuel_type) LIKE '%hybrid%' THEN 'fuel_hybrid' END) AS reasons,
   concat_ws(' | ',
     CASE WHEN mileage_in_km < m_km * 0.75 THEN 'Low mileage raises the price: '
       WHEN mileage_in_km > m_km * 1.25 THEN 'High mileage lowers the price: ' ELSE 'Ordinary mileage: ' END || t_km,
@@ -310,7 +316,9 @@ SELECT request_id,
     CASE WHEN power_ps > m_power * 1.35 THEN 'Strong engine: ' WHEN power_ps < m_power * 0.70 THEN 'Weak engine: ' END
       || t_power,
     CASE standing WHEN 'above' THEN brand || ' sells above the market: '
-      WHEN 'below' THEN brand || ' sells below the market: ' END || t_price) AS sentences
+      WHEN 'below' THEN brand || ' sells below the market: ' END || t_price,
+    CASE WHEN lower(fuel_type) LIKE '%electric%' THEN 'Electric cars tend to be dearer when new'
+      WHEN lower(fuel_type) LIKE '%hybrid%' THEN 'Hybrids tend to be in the middle or above' END) AS sentences
 FROM facts
 """
 
@@ -402,7 +410,7 @@ SELECT 42 AS seed, 20 AS test_percent, 2001 AS reference_year, round((SELECT thr
             for (label, _), c in zip(RULES, BROKEN, strict=True)),
         "drop_null_required": _kept("price_in_euro IS NOT NULL AND year IS NOT NULL AND power_ps IS NOT NULL "
                                     "AND mileage_in_km IS NOT NULL"),
-        "valid_category": _kept("fuel_type IN ('ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD')"),
+        "valid_category": _kept("fuel_type IN ('Diesel Hybrid', 'Electric', 'LARGE', 'SMALL', 'STANDARD')"),
         "drop_unknown": _kept("transmission_type IS DISTINCT FROM 'Unknown'"),
         "year_floor": _kept("year IS NULL OR year >= 1996"),
         "price_range": _kept("price_in_euro IS NULL OR price_in_euro BETWEEN 2000 AND 80000"),
@@ -425,14 +433,14 @@ SELECT request_id, brand, model, fuel_type, transmission_type,
   round(mileage_in_km / greatest(2001 - (min_year + max_year) // 2, 1), 6) AS mileage_per_year FROM requests""",
         "display_labels": """
 SELECT brand, model, CAST(year AS INTEGER) AS year, CAST(mileage_in_km AS INTEGER) AS mileage,
-  upper(fuel_type[1]) || lower(fuel_type[2:]) AS fuel, transmission_type AS transmission,
+  CASE WHEN fuel_type = 'Diesel Hybrid' THEN fuel_type ELSE upper(fuel_type[1]) || lower(fuel_type[2:]) END AS fuel, transmission_type AS transmission,
   CAST(power_ps AS INTEGER) AS power, '€' || format('{:,}', CAST(round_even(price_in_euro, 0) AS BIGINT)) AS price
 FROM clean""",
         "impute_power": "SELECT request_id, power_ps, power_from FROM powered",
         "fuel_options": """
 , m AS (SELECT brand, model, string_agg(DISTINCT fuel_type, '|' ORDER BY fuel_type) AS f FROM clean GROUP BY ALL)
 , b AS (SELECT brand, string_agg(DISTINCT fuel_type, '|' ORDER BY fuel_type) AS f FROM clean GROUP BY ALL)
-SELECT request_id, coalesce(m.f, b.f, 'ECONOMY|LARGE|MEDIUM|SMALL|STANDARD') AS fuels
+SELECT request_id, coalesce(m.f, b.f, 'Diesel Hybrid|Electric|LARGE|SMALL|STANDARD') AS fuels
 FROM requests LEFT JOIN m USING (brand, model) LEFT JOIN b USING (brand)""",
         "similar_listings": SIMILAR,
         "explain_listing": EXPLAIN,

@@ -19,7 +19,7 @@ from forecourt.operators.splitting import train_test_split
 # The bounds of a general-market listing on the scale of the test tables.
 SCOPE = Scope(
     reference_year=2001, year_min=1996, price_min=2000.0, price_max=80000.0, power_min=2.0, power_max=48.0,
-    mileage_max=49.0, mileage_excluded=1.0, fuels=("ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD"),
+    mileage_max=49.0, mileage_excluded=1.0, fuels=("Diesel Hybrid", "Electric", "LARGE", "SMALL", "STANDARD"),
     request_year=(1996, 2001), request_power=(2.0, 48.0), request_mileage=(1.0, 49.0), default_power=25.0,
 )
 SEEDS = Seeds()
@@ -40,6 +40,18 @@ def listing_id() -> Column:
                              cents("l_quantity"), cents("l_extendedprice")))
 
 
+def fuel() -> Column:
+    """Part types, two of them under names that the explanations know."""
+    return F.when(F.col("p_type") == "ECONOMY", F.lit("Electric")).when(F.col("p_type") == "MEDIUM", F.lit("Diesel Hybrid")) \
+        .otherwise(F.col("p_type"))
+
+
+def price() -> Column:
+    """One brand is dear and one is cheap. Doubling and halving leave all digits as they are."""
+    return F.col("l_extendedprice") * F.when((F.col("p_brand") == "Brand#25") & (F.col("l_extendedprice") < 40000), 2.0).when(
+        F.col("p_brand") == "Brand#5", 0.5).otherwise(1.0)
+
+
 def wrong(discount: float, tax: float) -> Column:
     return (F.col("l_discount") == discount) & (F.col("l_tax") == tax)
 
@@ -55,14 +67,14 @@ def _common() -> dict[str, Column]:
         "model": F.concat_ws(" ", "p_brand", "p_name"),
         "transmission_type": F.when(~wrong(0.0, 0.01), F.when(F.col("l_returnflag") == "N", F.lit("Unknown"))
                                     .otherwise(F.col("l_returnflag"))),
-        "fuel_type": F.when(wrong(0.0, 0.04), F.lit("07/2010")).when(~wrong(0.1, 0.04), F.col("p_type")),
+        "fuel_type": F.when(wrong(0.0, 0.04), F.lit("07/2010")).when(~wrong(0.1, 0.04), fuel()),
     }
 
 
 def _numbers() -> dict[str, Column]:
     return {
         "year": F.when(~wrong(0.0, 0.08), F.year("l_shipdate").cast("double")),
-        "price_in_euro": F.when(~wrong(0.0, 0.0), F.col("l_extendedprice")),
+        "price_in_euro": F.when(~wrong(0.0, 0.0), price()),
         "power_ps": F.when(~wrong(0.1, 0.0), F.col("p_size").cast("double")),
         "mileage_in_km": F.when(~wrong(0.1, 0.08), F.col("l_quantity")),
     }
@@ -114,13 +126,14 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every part as a valuation request; some ask for an unknown power or lie outside the bounds."""
+    """Every part as a valuation request; some have an unknown power or an unseen brand, or lie outside the bounds."""
+    brand = F.when(F.col("p_partkey") % 97 == 5, F.lit("Nobody")).otherwise(F.col("p_brand"))
     decade = F.floor(F.col("p_size") / F.lit(10))
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("request_id"),
-        F.col("p_brand").alias("brand"),
-        F.concat_ws(" ", "p_brand", "p_name").alias("model"),
-        F.col("p_type").alias("fuel_type"),
+        brand.alias("brand"),
+        F.concat_ws(" ", brand, "p_name").alias("model"),
+        fuel().alias("fuel_type"),
         F.when(F.col("p_size") > 25, F.lit("A")).otherwise(F.lit("R")).alias("transmission_type"),
         (decade + 1995).cast("int").alias("min_year"),
         (decade + 1997).cast("int").alias("max_year"),
