@@ -39,6 +39,10 @@ class Sketch:
         return self.bands * self.rows
 
 
+#: Hashes of a block of sets that are compared with another block in one go, about.
+BLOCK = 1 << 16
+
+
 def words(text: str | None) -> list[bytes]:
     """Words between ASCII white space, A-Z in lower case."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
@@ -154,13 +158,42 @@ def _reached(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _block_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links between the outsiders of one block and the members of another of the same bucket.
+
+    The members' hashes are sorted together, so one lookup of an outsider's hashes counts what it shares with every
+    member. Of an outsider's links to one group a single one is given: the others connect nothing more.
+    """
+    for batch in batches:
+        links = []
+        for outsiders, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            sets = [np.frombuffer(m["set"], np.uint64) for m in members]
+            sizes = np.array([len(x) for x in sets])
+            whole = np.concatenate(sets)
+            order = np.argsort(whole, kind="stable")
+            whole, owner = whole[order], np.repeat(np.arange(len(sets)), sizes)[order]
+            group = np.array([m["group"] for m in members])
+            for o in outsiders:
+                mine = np.frombuffer(o["set"], np.uint64)
+                lo, hi = np.searchsorted(whole, mine, "left"), np.searchsorted(whole, mine, "right")
+                n = hi - lo
+                at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+                common = np.bincount(owner[at], minlength=len(sets))
+                found = np.flatnonzero((100 * common >= percent * (len(mine) + sizes - common)) & (group != o["group"]))
+                links += [(o["id"], members[found[k]]["id"]) for k in np.unique(group[found], return_index=True)[1]]
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], names=["a", "b"])
+
+
 def near_copies(docs: DataFrame, s: Sketch = Sketch()) -> DataFrame:
     """Groups of near copies: doc_id, n_shingles, component_id, kept, a row for each row of `docs`.
 
     Documents are linked whose sets of word runs have at least `percent` of their union in common; a group is
     what links connect, and its smallest doc_id is kept. Equal word sequences are one text from the start and
     are never paired. Texts that share a band of registers are candidates (`linking.linked`); the joint
-    likelihood of both sketches drops clear failures, and the full sets decide.
+    likelihood of both sketches drops clear failures, and the full sets decide. In large buckets that hold several
+    groups after the first links, blocks of outsiders meet blocks of members, sets and all: a row is a pair of
+    blocks, not of documents.
 
     Null, empty and white-space texts: an empty set, linked with nothing. A text with fewer words than a run:
     its whole sequence is the one member. A row without doc_id: no component, kept, linked with nothing.
@@ -174,22 +207,37 @@ def near_copies(docs: DataFrame, s: Sketch = Sketch()) -> DataFrame:
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"),
         F.first("bands").alias("bands"))
     kinds = written(kinds, "kinds")
-    buckets = kinds.select("id", F.posexplode("bands").alias("band", "value")) \
-        .select(F.xxhash64("band", "value").alias("key"), "id").distinct()
+    buckets = kinds.select("id", "n", F.posexplode("bands").alias("band", "value")) \
+        .select(F.xxhash64("band", "value").alias("key"), "id", "n").distinct()
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        found = among(texts(docs), written(ids, "ids"), ["doc_id"])
+        return written(found.mapInArrow(partial(_sets, size=s.shingle), "id bigint, set binary"), "sets")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         side = lambda n: kinds.select(F.col("id").alias(n), F.col("sketch").alias(f"{n}_sketch"), F.col("n").alias(f"n_{n}"))
         asked = written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_sketch", "n_a", "b_sketch", "n_b")
                         .mapInArrow(partial(_likely, s=s), "a bigint, b bigint").distinct(), "asked")
-        ids = asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct()
-        ids = written(ids, "ids")
-        sets = among(texts(docs), ids, ["doc_id"]).mapInArrow(partial(_sets, size=s.shingle), "id bigint, set binary")
-        sets = written(sets, "sets")
+        sets = sets_of(asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct())
         both = asked.join(sets.select(F.col("id").alias("a"), F.col("set").alias("a_set")), "a") \
             .join(sets.select(F.col("id").alias("b"), F.col("set").alias("b_set")), "b").select("a", "b", "a_set", "b_set")
         return both.mapInArrow(partial(_reached, percent=s.percent), "a bigint, b bigint").distinct()
 
-    groups = linked(buckets, confirm)
+    def across(rest: DataFrame) -> DataFrame:
+        """Outsiders of large buckets beside all members, in blocks of about BLOCK hashes each."""
+        rows = rest.join(sets_of(rest.select(F.col("id").alias("doc_id")).distinct()), "id") \
+            .select("key", "outside", F.struct("id", "group", "set").alias("member"), F.length("set").alias("bytes"))
+        rows = written(rows, "members")
+        counts = rows.groupBy("key").agg(*[F.greatest(F.lit(1), F.ceil(F.sum(x) / (8 * BLOCK))).alias(n) for n, x in (
+            ("blocks", F.col("bytes")), ("outer", F.when(F.col("outside"), F.col("bytes")).otherwise(0)))])
+        placed = rows.join(counts, "key")
+        dealt = lambda df, n, name: df.groupBy("key", F.pmod(F.xxhash64("member.id"), F.col(n)).alias("block")).agg(
+            F.collect_list("member").alias(name)).select("key", name)
+        both = dealt(placed.where("outside"), "outer", "outsiders").join(dealt(placed, "blocks", "members"), "key")
+        return both.select("outsiders", "members").mapInArrow(partial(_block_links, percent=s.percent), "a bigint, b bigint").distinct()
+
+    near = lambda a, b: 100 * F.least(f"n_{a}", f"n_{b}") >= s.percent * F.greatest(f"n_{a}", f"n_{b}")
+    groups = linked(buckets, confirm, near, across)
     named = rows.select("doc_id", "n_shingles", "digest").join(kinds.select("digest", "id"), "digest", "left")
     named = written(named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id")).alias("id")), "named")
     # A doc_id with several texts connects their groups.
