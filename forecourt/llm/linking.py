@@ -44,7 +44,7 @@ def _stars(edges: DataFrame) -> bool:
 
 def linked(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame], near: Callable[[str, str], Column] | None = None,
            across: Callable[[DataFrame], DataFrame] | None = None, prepare: Callable[[DataFrame], None] | None = None,
-           small: int = 16) -> DataFrame:
+           seen: list[Column] | None = None, worth: Column | None = None, small: int = 16) -> DataFrame:
     """Groups of ids connected by confirmed pairs within buckets: (id, component), the smallest of a group left out.
 
     `buckets` has (key, id) without repeats and columns of the id's own, `confirm` keeps the pairs (a, b) that are
@@ -56,12 +56,14 @@ def linked(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame], near:
     groups, every member outside its largest group meets the members of all other groups. So all pairs of a
     bucket end in one group or are compared, and a bucket costs its outsiders times its size, not its square. `across`
     takes those buckets as (key, id, group, outside) and finds the links of outsiders without a row for each pair.
-    `prepare` gets the ids that pairs may have, once, before the first of them is to be confirmed.
+    `prepare` gets the ids that pairs may have, once, before the first of them is to be confirmed. `worth` is a
+    condition on buckets, by aggregates `seen` of their rows and their `crowd`: the others hold no pair that is near.
     """
     own = [c for c in buckets.columns if c not in ("key", "id")]
     # Most buckets hold one id: only the others' rows go on. They are found by their counts, and met by broadcast
     # while they are few.
-    shared = written(buckets.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1"), "shared")
+    shared = buckets.groupBy("key").agg(F.count("*").alias("crowd"), *(seen or [])).where("crowd > 1")
+    shared = written((shared if worth is None else shared.where(worth)).select("key", "crowd"), "shared")
     crowded = buckets.join(F.broadcast(shared) if shared.count() <= FEW_IDS else shared, "key")
     crowded = written(crowded.select("key", "id", "crowd", *own), "buckets")
     side = lambda name, rows: rows.select("key", *[F.col(c).alias(f"{c}_{name}") for c in rows.columns if c not in ("key", "crowd")])
