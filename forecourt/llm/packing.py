@@ -21,6 +21,9 @@ PIECE = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigi
 _PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\\xc0-\\xff]*")
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 _LETTERS = re.compile(r"[^\W\d_]+")
+#: Byte-level vocabularies write a byte as its own character if that can be seen, else as one from 256 on, in order.
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SEEN)}
 
 
 class Ids:
@@ -37,26 +40,19 @@ class Ids:
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, pieces: list[str]) -> None:
-        """Encode many pieces at once: words of letters end with an end-of-word token each."""
-        letters = [p for p in pieces if _LETTERS.fullmatch(p)]
-        for at in range(0, len(letters), 512):
-            some = letters[at : at + 512]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some):
-                bounds = [0, *cuts.tolist()]
-                raw = ids.tobytes()
-                self.young.update(zip(some, (raw[4 * a : 4 * b] for a, b in zip(bounds, bounds[1:], strict=False)), strict=True))
+        """Words of letters go to the merges at once, as the characters that stand for their bytes."""
+        merge = self.tokenizer.model.tokenize
+        for p in pieces:
+            if _LETTERS.fullmatch(p):
+                some = merge(p if p.isascii() else p.encode().decode("latin-1").translate(_BYTES))
+                self.young[p] = np.array([t.id for t in some], "<u4").tobytes()
             else:
-                self.young.update((p, self.whole(p)) for p in some)
-        self.young.update((p, self.whole(p)) for p in pieces if p not in self.young)
+                self.young[p] = self.whole(p)
 
     def pieces(self, text: str) -> list[str] | None:
         if "<|" in text or not _PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
