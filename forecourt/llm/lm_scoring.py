@@ -10,16 +10,21 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.decontamination import words
 from forecourt.llm.tables import FEW_IDS, slices
+from forecourt.sources.storage import written
 
-#: A word belongs to the vocabulary if at least one of so many words of all texts is that word, a bigram likewise:
-#: so there are at most so many of each, whatever the size of the corpus.
+#: A word belongs to the vocabulary if it occurs LEAST times, or if at least one of WORDS words of all texts is that word.
+LEAST = 3
 WORDS = 1 << 17
-PAIRS = 1 << 20
+#: Up to so many words and bigrams go to every executor; more are joined by shuffle.
+MOST_WORDS = 1 << 17
+MOST_PAIRS = 1 << 20
+#: What stands before the first word of a text.
+START = 0
 #: Weight of a bigram's share beside the word's own probability.
 LAMBDA = 0.7
 
@@ -59,7 +64,7 @@ def _single(found: list[bytes]) -> np.ndarray:
 
 
 class Vocabulary:
-    """Numbers of frequent words; all others are one unknown word, the last number."""
+    """Numbers of known words; all others are one unknown word, the last number."""
 
     def __init__(self, gram: np.ndarray, n: np.ndarray, target: np.ndarray, total: tuple[int, int]):
         order = np.argsort(gram)
@@ -134,14 +139,111 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.
                                          names=["doc_id", "n_tokens", "target_bits", "background_bits", "difference"])
 
 
+def _mixed(found: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each word with the one before it: a number of both, and the two."""
+    second = _hashes(found)
+    first = np.append(np.uint64(START), second[:-1])
+    both = (first * np.uint64(0x9E3779B97F4A7C15) ^ (second << np.uint64(31) | second >> np.uint64(33))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return both.view(np.int64), first.view(np.int64), second.view(np.int64)
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(pair, a, b, n, n_target), counted together for many texts of a task before they leave it."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+
+    def merged() -> pa.RecordBatch:
+        pair, a, b, target = (np.concatenate(x) for x in zip(*held, strict=True))
+        pair, at, group = np.unique(pair, return_index=True, return_inverse=True)
+        columns = (pair, a[at], b[at], np.bincount(group, minlength=len(pair)), np.bincount(group[target], minlength=len(pair)))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["pair", "a", "b", "n", "n_target"])
+
+    for batch in slices(batches, "text", 16 << 20):
+        for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            found = words(text)
+            if found:
+                held.append((*_mixed(found), np.full(len(found), bool(target))))
+                size += len(found)
+            if size > 2_000_000:
+                yield merged()
+                held.clear()
+                size = 0
+    if held:
+        yield merged()
+
+
+def _pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(version, pair, k) of each text."""
+    for batch in slices(batches, "text", 1 << 20):
+        out = []
+        for version, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            found = words(text)
+            if found:
+                pair, k = np.unique(_mixed(found)[0], return_counts=True)
+                out.append((np.full(len(pair), version), pair, k))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)],
+                                             names=["version", "pair", "k"])
+
+
+def _joined(rows: DataFrame, marked: DataFrame, known: DataFrame, total: tuple[int, int]) -> DataFrame:
+    """What `scored` gives, where vocabulary and bigrams are tables: losses of bigrams are found once each and meet the
+    texts' distinct bigrams by shuffle, summed for each text. Copies of a text add to one sum and share its mean."""
+    n, words_n, words_t = (x or 0 for x in known.agg(F.count("*"), F.sum("n"), F.sum("n_target")).first())
+    pairs = written(marked.mapInArrow(_pair_counts, "pair bigint, a bigint, b bigint, n bigint, n_target bigint").groupBy("pair", "a", "b")
+                    .agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), "pairs")
+    later = pairs.where(F.col("a") != START)
+    followed = later.groupBy("a").agg(F.sum("n").alias("f"), F.sum("n_target").alias("f_target"))
+    left = known.join(followed, F.col("gram") == F.col("a"), "left")
+    inside = left.agg(F.sum("f"), F.sum("f_target")).first()
+    every = followed.agg(F.sum("f"), F.sum("f_target")).first()
+    # The unknown word has what the others leave.
+    rare = [total[0] - words_n, total[1] - words_t, *((e or 0) - (i or 0) for e, i in zip(every, inside, strict=True))]
+
+    first = left.select(F.col("gram").alias("a"), F.col("gram").alias("first"), F.col("n").alias("n_a"), F.col("n_target").alias("t_a"),
+                        F.coalesce("f", F.lit(0)).alias("f_a"), F.coalesce("f_target", F.lit(0)).alias("ft_a"))
+    second = known.select(F.col("gram").alias("b"), F.col("gram").alias("second"), F.col("n").alias("n_b"), F.col("n_target").alias("t_b"))
+    filled = {"n_a": rare[0], "t_a": rare[1], "f_a": rare[2], "ft_a": rare[3], "n_b": rare[0], "t_b": rare[1]}
+    each = written(pairs.join(first, "a", "left").join(second, "b", "left").fillna(filled)
+                   .withColumn("start", F.col("a") == START).drop("a", "b"), "known-pairs")
+    # Bigrams with the unknown word count together.
+    some = each.where(~F.col("start") & (F.col("first").isNull() | F.col("second").isNull()))
+    sums = some.groupBy("first", "second").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    both = sums.where("first is null and second is null").agg(F.sum("n"), F.sum("n_target")).first()
+    sides = [each.where(F.col("start") | (F.col("first").isNotNull() & F.col("second").isNotNull())),
+             some.where("first is null and second is null").withColumns({"n": F.lit(both[0] or 0), "n_target": F.lit(both[1] or 0)})]
+    for one, other in (("first", "second"), ("second", "first")):
+        whole = sums.where(F.col(one).isNull() & F.col(other).isNotNull()).drop(one)
+        sides.append(some.where(F.col(one).isNull() & F.col(other).isNotNull()).drop("n", "n_target").join(whole, other))
+    losses = sides[0]
+    for side in sides[1:]:
+        losses = losses.unionByName(side)
+
+    def loss(count: str, one: str, after: str, two: str, of: int) -> Column:
+        alone = (F.col(two) + 1.0) / float(of + n + 1)
+        above = F.greatest(F.col(one), F.lit(1))
+        found = LAMBDA * F.col(count) / above + (1 - LAMBDA * F.col(after) / above) * alone
+        return -F.log2(F.when(F.col("start"), alone).otherwise(found))
+
+    losses = losses.select("pair", "start", loss("n_target", "t_a", "ft_a", "t_b", total[1]).alias("t"), loss("n", "n_a", "f_a", "n_b", total[0]).alias("b"))
+    keyed = rows.withColumn("version", F.xxhash64("text"))
+    k = F.col("k")
+    summed = keyed.select("version", "text").mapInArrow(_pairs_of, "version bigint, pair bigint, k bigint").join(losses, "pair") \
+        .groupBy("version").agg(F.sum(k).alias("k"), F.sum(F.when(F.col("start"), k)).alias("copies"), F.sum(k * F.col("t")).alias("t"), F.sum(k * F.col("b")).alias("b"))
+    target, background = F.col("t") / F.col("k"), F.col("b") / F.col("k")
+    return keyed.select("doc_id", "version").join(summed, "version", "left").select(
+        "doc_id", F.coalesce((F.col("k") / F.col("copies")).cast("bigint"), F.lit(0)).cast("bigint").alias("n_tokens"),
+        target.alias("target_bits"), background.alias("background_bits"), (target - background).alias("difference"))
+
+
 def scored(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """doc_id, n_tokens, target_bits, background_bits, difference for each row of `docs`: mean loss of a token under a
     bigram model of the documents in `target_ids` and under one of all documents; the lower the difference, the more a
     document is like the target.
 
-    All words of all documents are counted, merged in each task and again by shuffle. Words, then bigrams of them, with
-    a share of at least 1 / WORDS and 1 / PAIRS are the models' one vocabulary, at every size of corpus; so what goes to
-    the driver and the executors is bounded (16 and 24 MB). Rarer words are one unknown word, rarer bigrams back off.
+    All words and bigrams of all documents are counted, merged in each task and again by shuffle. Words that occur LEAST
+    times or have a share of 1 / WORDS, and every bigram of them, are the models' one vocabulary; other words are one
+    unknown word. Up to MOST_WORDS words and MOST_PAIRS bigrams are broadcast (3 and 24 MB); more stay tables and are joined.
     Target documents are scored with the model that has seen them.
 
     Null texts and texts without words: 0 tokens, nulls. Repeated rows count and are scored each; a repeated or null
@@ -153,20 +255,23 @@ def scored(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     ids = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
     marked = rows.join(ids, F.col("doc_id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("target"))
 
-    def counted(keys, least: int) -> tuple[list[np.ndarray], tuple[int, int]]:
-        grams = marked.mapInArrow(partial(_counts, keys=keys), "gram bigint, n bigint, n_target bigint").groupBy("gram") \
-            .agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).persist()
-        try:
-            total = tuple(x or 0 for x in grams.agg(F.sum("n"), F.sum("n_target")).first())
-            found = grams.where(F.col("n") * least >= total[0]).toArrow()
-        finally:
-            grams.unpersist()
-        return [found.column(k).to_numpy().astype(np.int64) for k in range(3)], total
-
-    held, total = counted(_single, WORDS)
-    vocabulary = Vocabulary(*held, total)
-    # A frequent bigram has frequent words, so bigrams of numbers lose none.
-    pairs, _ = counted(partial(_pairs, vocabulary=spark.sparkContext.broadcast(vocabulary)), PAIRS)
-    model = spark.sparkContext.broadcast(Model(vocabulary, *pairs))
+    def counted(keys) -> DataFrame:
+        return written(marked.mapInArrow(partial(_counts, keys=keys), "gram bigint, n bigint, n_target bigint").groupBy("gram")
+                       .agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), "grams")
+
+    def held(grams: DataFrame) -> list[np.ndarray]:
+        found = grams.toArrow()
+        return [found.column(k).to_numpy().astype(np.int64) for k in range(3)]
+
+    grams = counted(_single)
+    total = tuple(x or 0 for x in grams.agg(F.sum("n"), F.sum("n_target")).first())
+    known = grams.where((F.col("n") >= LEAST) | (F.col("n") * WORDS >= total[0]))
+    if known.count() > MOST_WORDS:
+        return _joined(rows, marked, known, total)
+    vocabulary = Vocabulary(*held(known), total)
+    pairs = counted(partial(_pairs, vocabulary=spark.sparkContext.broadcast(vocabulary)))
+    if pairs.count() > MOST_PAIRS:
+        return _joined(rows, marked, known, total)
+    model = spark.sparkContext.broadcast(Model(vocabulary, *held(pairs)))
     return rows.mapInArrow(partial(_scored, model=model),
                            "doc_id bigint, n_tokens bigint, target_bits double, background_bits double, difference double")

@@ -383,6 +383,32 @@ def test_rare_words_are_one_word_and_models_sum_to_one(spark, monkeypatch):
             assert rest[h] * alone.sum() + share[pair >> 20 == h].sum() == pytest.approx(1)
 
 
+def test_words_of_a_small_target_count_beside_a_large_corpus(spark):
+    """Three occurrences in 400,000 tokens are under 1 / WORDS."""
+    texts = ["rareone raretwo"] * 3 + ["often " * 4000] * 100
+    docs = spark.createDataFrame(rows_of(texts), DOCS)
+    found = by_id(lm_scoring.scored(docs, docs.where("doc_id < 3").select("doc_id")))
+    # Known words: three counts of six, one added for each of three words and the unknown one.
+    first, then = -math.log2(4 / 10), -math.log2(lm_scoring.LAMBDA + (1 - lm_scoring.LAMBDA) * 4 / 10)
+    assert found[0].target_bits == pytest.approx((first + then) / 2, abs=1e-6)
+
+
+@pytest.mark.parametrize("bound", ["MOST_WORDS", "MOST_PAIRS"])
+def test_joined_scores_beside_broadcast_ones(spark, odd, monkeypatch, bound):
+    monkeypatch.setattr(lm_scoring, "WORDS", 1)
+    texts = [prose(k, 60) + f" only{k}" + " twice two" * (k < 2) for k in range(20)]
+    plain = spark.createDataFrame(rows_of([*texts, texts[3], "only1", "only1 only2 twice two alpha1"]), DOCS)
+    for docs, target in ((plain, "doc_id < 6"), (odd, "doc_id = 7"), (odd, "false")):
+        order = ["doc_id", "n_tokens", "target_bits"]
+        found = lambda: lm_scoring.scored(docs, docs.where(target).select("doc_id")).toPandas().sort_values(order).reset_index(drop=True)  # noqa: B023, E731
+        whole = found()
+        with monkeypatch.context() as m:
+            m.setattr(lm_scoring, bound, 0)
+            joined = found()
+        assert joined[order[:2]].equals(whole[order[:2]])
+        assert np.allclose(joined[whole.columns[2:]], whole[whole.columns[2:]], atol=1e-9, equal_nan=True)
+
+
 def test_scores_of_odd_rows(odd, empty):
     found = lm_scoring.scored(odd, odd.where("doc_id = 7").select("doc_id"))
     assert found.count() == len(ODD) + 3
