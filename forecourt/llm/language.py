@@ -13,13 +13,11 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.tables import appended, slices
+from forecourt.llm.tables import FEW_IDS, appended, slices
 
 UNKNOWN = "und"
 #: Longest context in bytes; a context with its symbol then fits 32 bits.
 ORDER = 3
-#: Languages of a model, at most.
-LANGS = 4096
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -42,12 +40,12 @@ def sampled(docs: DataFrame, rows: int) -> DataFrame:
     """At most `rows` labelled texts of each language, in the order of a hash of their id.
 
     A share of the ids keeps about twice as many before the exact cut, so no task gets all texts of a language.
-    Languages of less than one in LANGS labelled texts are not learned: so there are at most LANGS.
+    Every language is learned, however few of the labelled texts are in it.
     """
     named = docs.where("lang is not null and text is not null and doc_id is not null")
-    counts = named.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") * LANGS >= named.count())
+    counts = named.groupBy("lang").agg(F.count("*").alias("n"))
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    few = named.join(F.broadcast(counts), "lang").where(spot * F.col("n") <= F.lit(2.0 * rows + 50))
+    few = named.join(F.broadcast(counts) if counts.count() <= FEW_IDS else counts, "lang").where(spot * F.col("n") <= F.lit(2.0 * rows + 50))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     return few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows).select("lang", "text")
 

@@ -95,6 +95,13 @@ def test_the_sample_is_bounded_and_even(spark):
     assert {r.lang: r["count"] for r in language.sampled(docs, 100).groupBy("lang").count().collect()} == {"aa": 100, "bb": 100}
 
 
+def test_a_rare_language_is_learned_beside_a_large_one(spark):
+    docs = spark.range(5001).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 7, "zwq zwq").otherwise("a b").alias("text"),
+                                    F.when(F.col("id") == 7, "aa").otherwise("bb").alias("lang"))
+    found = language.predicted(docs.where("doc_id in (7, 8)"), language.trained(docs))
+    assert {r.doc_id: r.lang_pred for r in found.collect()} == {7: "aa", 8: "bb"}
+
+
 def test_held_out(spark):
     got = spark.range(50).select("id", language.held_out("id").alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in got)
