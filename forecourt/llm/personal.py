@@ -6,7 +6,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import partial
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -76,19 +76,38 @@ def base_spans(text: str) -> list[Span]:
 
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|\s|[^\w\s]|_")
-#: Where an entity may be: long numbers, numbers with signs in between, addresses as such or spelled out.
-_TRIGGER = re.compile(r"[0-9][0-9().\x20-]{5,}[0-9]|@|[(\[]at[)\]]", re.I)
-#: Tokens of an entity, at most, and characters shown on either side of a trigger.
-MOST_TOKENS, AROUND = 24, 48
+#: Where an entity may be: long numbers, numbers with the signs of `_variants` in between, addresses as such or spelled out.
+_TRIGGER = re.compile(r"[0-9][0-9().\x20/\[\]-]{5,}[0-9]|@|[(\[]at[)\]]", re.I)
+#: Tokens of an entity, at most; as many are shown on either side of a trigger.
+MOST_TOKENS = 24
 _AT = re.compile(r"\s*[(\[]at[)\]]\s*|@", re.I)
 _DOT = re.compile(r"\s*[(\[]dot[)\]]\s*", re.I)
 
 
+def _before(text: str, at: int) -> int:
+    """Where the MOST_TOKENS tokens before a place begin."""
+    reach = 8 * MOST_TOKENS
+    while True:
+        lo = max(0, at - reach)
+        starts = [m.start() for m in _TOKEN.finditer(text, lo, at)]
+        # The first one may be the end of a longer token.
+        if len(starts) > MOST_TOKENS:
+            return starts[-MOST_TOKENS]
+        if not lo:
+            return 0
+        reach *= 2
+
+
+def _after(text: str, at: int) -> int:
+    """Where the MOST_TOKENS tokens after a place end."""
+    return max((m.end() for m in islice(_TOKEN.finditer(text, at), MOST_TOKENS)), default=at)
+
+
 def regions(text: str) -> list[tuple[int, int]]:
     """Places around triggers, merged where they meet: nothing outside of them can be an entity."""
     out: list[list[int]] = []
     for m in _TRIGGER.finditer(text):
-        lo, hi = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
+        lo, hi = _before(text, m.start()), _after(text, m.end())
         if out and lo <= out[-1][1]:
             out[-1][1] = hi
         else:

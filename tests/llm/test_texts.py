@@ -265,6 +265,25 @@ def test_the_field_keeps_base_spans_and_adds_spelled_out_ones(field):
     assert all("2.0.1" not in t and "9988" not in t for _, t in added)
 
 
+def test_every_variant_is_a_candidate_without_other_triggers():
+    spans = {"email": "jo@mailhostofdepartment.examplecompanyname.com", "phone": "+1 (415) 555-0100", "card": "4111111111111111", "ip": "192.168.10.20"}
+    for kind, span in spans.items():
+        for new, ((_, start, end),) in personal._variants(f"write {span} now", [(kind, 6, 6 + len(span))]):
+            text = "so it was said " * 9 + new + " as it was said" * 9
+            start, end = start + 135, end + 135
+            found = []
+            for lo, hi in personal.regions(text):
+                x = personal.Lattice(text, lo, hi)
+                found += [(x.tokens[i][0], x.tokens[j - 1][1]) for i, j in x.segments]
+            assert (start, end) in found, text[start:end]
+
+
+def test_long_sides_of_a_sign_are_shown_whole():
+    local = "a" * 70
+    text = f"write to {local}@{'b' * 60}.example.com, please"
+    assert any(lo <= 9 and hi >= text.index(",") for lo, hi in personal.regions(text))
+
+
 def test_segmentations_sum_to_one_and_the_best_is_the_best(field):
     x = personal.Lattice("call 212-555-0199 or 10.0.0.1 at 4111 1111 1111 1111", 0, 52)
     f = field.value
