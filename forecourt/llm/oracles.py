@@ -162,6 +162,27 @@ FROM calls c FULL JOIN results r USING (conv_id, turn) LEFT JOIN parents p USING
 """
 
 
+_FILL_MIDDLE = """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS d FROM documents
+), drawn AS (
+  SELECT doc_id, t, length(t) AS n, ('0x' || substr(d, 1, 8))::UBIGINT AS h1, ('0x' || substr(d, 9, 8))::UBIGINT AS h2,
+    ('0x' || substr(d, 17, 8))::UBIGINT AS h3, ('0x' || substr(d, 25, 8))::UBIGINT AS h4 FROM hashed
+), cut AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1))::BIGINT AS a, greatest(h1 % (n + 1), h2 % (n + 1))::BIGINT AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), parts AS (
+  SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1, n - b) AS s FROM cut
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_licence_scan": _licence_scan(),
@@ -169,4 +190,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_lm_scoring": _LM_SCORING,
         "op9_decontamination": _DECONTAMINATION,
         "op10_tool_calls": _TOOL_CALLS,
+        "op12_fill_middle": _FILL_MIDDLE,
     }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from forecourt.llm import (
     decontamination,
+    fill_middle,
     language,
     licences,
     lines,
@@ -130,7 +131,15 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.linked_calls(*tool_tables(spark, sf_dir))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = fill_middle.transformed(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fim")
+    hashed = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return fill_middle.restored(changed).select(
+        "doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", hashed("fim.output").alias("output_sha256"),
+        hashed("restored").alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_fingerprints, op2_licence_scan, op3_language_id, op4_near_dedup, op5_personal_data, op6_packing, op7_lm_scoring,
-        op8_line_dedup, op9_decontamination, op10_tool_calls)}
+        op8_line_dedup, op9_decontamination, op10_tool_calls, op12_fill_middle)}
