@@ -175,14 +175,34 @@ WITH hashed AS (
 ), parts AS (
   SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1, n - b) AS s FROM cut
 )
-SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
-  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a::DOUBLE END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN (b - a)::DOUBLE END AS middle_chars,
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
     ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
 FROM parts
 """
 
 
+_HARD_NEGATIVES = """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS s
+  FROM valid a JOIN valid b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY s DESC, other) <= 5
+)
+SELECT p.anchor AS anchor_id, p.other AS positive_id,
+  (row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.s DESC, n.other))::INT AS rank, n.other AS negative_id,
+  p.s AS positive_score, n.s AS negative_score
+FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same AND 30 * p.s <= 100 * n.s AND 100 * n.s <= 90 * p.s
+QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_licence_scan": _licence_scan(),
@@ -191,4 +211,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_decontamination": _DECONTAMINATION,
         "op10_tool_calls": _TOOL_CALLS,
         "op12_fill_middle": _FILL_MIDDLE,
+        "op13_hard_negatives": _HARD_NEGATIVES,
     }

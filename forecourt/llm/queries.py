@@ -15,6 +15,7 @@ from forecourt.llm import (
     lines,
     lm_scoring,
     near_dedup,
+    negatives,
     packing,
     personal,
     spotsigs,
@@ -139,7 +140,14 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         hashed("restored").alias("restored_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.select("vec_id", "embedding", label.alias("label")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_fingerprints, op2_licence_scan, op3_language_id, op4_near_dedup, op5_personal_data, op6_packing, op7_lm_scoring,
-        op8_line_dedup, op9_decontamination, op10_tool_calls, op12_fill_middle)}
+        op8_line_dedup, op9_decontamination, op10_tool_calls, op12_fill_middle,
+        op13_hard_negatives)}
