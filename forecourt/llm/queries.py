@@ -16,6 +16,7 @@ from forecourt.llm import (
     lm_scoring,
     near_dedup,
     negatives,
+    neighbours,
     packing,
     personal,
     spotsigs,
@@ -132,6 +133,10 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.linked_calls(*tool_tables(spark, sf_dir))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = fill_middle.transformed(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fim")
     hashed = lambda c: F.sha2(F.col(c).cast("binary"), 256)
@@ -149,5 +154,5 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_fingerprints, op2_licence_scan, op3_language_id, op4_near_dedup, op5_personal_data, op6_packing, op7_lm_scoring,
-        op8_line_dedup, op9_decontamination, op10_tool_calls, op12_fill_middle,
+        op8_line_dedup, op9_decontamination, op10_tool_calls, op11_neighbours, op12_fill_middle,
         op13_hard_negatives)}

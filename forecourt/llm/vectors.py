@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,11 @@ def one_length(rows: DataFrame, vector: str = "vector") -> DataFrame:
     return rows.where(F.size(vector) == usual)
 
 
+def partitions(rows: int, block: int, spark: SparkSession) -> int:
+    """Into how many ranges sorted rows are dealt: sixteen blocks each, but a block each while cores would stay idle."""
+    return max(1, -(-rows // (16 * block)), min(-(-rows // block), 2 * spark.sparkContext.defaultParallelism))
+
+
 def matrix(vectors: pa.Array) -> np.ndarray:
     """Lists of one length as a matrix of doubles."""
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
