@@ -18,7 +18,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.vectors import finite, matrix, one_length, runs
+from forecourt.llm.vectors import finite, matrix, one_length, partitions, runs
 from forecourt.sources.storage import scratch, written
 
 #: Rows of a block, anchors that meet all rows together, reference directions and the rows that they are chosen from.
@@ -235,10 +235,12 @@ def stored(rows: DataFrame, scale: float = 256.0, vec_id: str = "vec_id", vector
     valid = valid.where("vec_id is not null and label is not null").where(finite(F.col("vector")))
     valid = one_length(valid.groupBy("vec_id").agg(F.min(F.struct("label", "vector")).alias("row")).select("vec_id", "row.label", "row.vector"))
     valid = written(valid, "vectors")
+    parts = partitions(valid.count(), BLOCK, rows.sparkSession)
     seen = valid.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").collect()
     references = _directions(_whole(np.array([r.vector for r in seen], np.float64), scale), REFERENCES) if seen else np.eye(1)
     placed = valid.select("vec_id", "label", "vector").mapInArrow(partial(_placed, references=references, scale=scale), _ROWS)
-    return written(placed.repartitionByRange("ref", "angle", "vec_id"), "angles")
+    by = ("ref", "angle", "vec_id")
+    return written(placed.repartitionByRange(parts, *by).sortWithinPartitions(*by), "angles")
 
 
 def hard_negatives(rows: DataFrame, every: int = 100, positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90,
