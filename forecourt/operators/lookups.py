@@ -20,24 +20,40 @@ def brand_model_options(listings: DataFrame) -> DataFrame:
     return pairs.groupBy("brand").agg(F.sort_array(F.collect_list("model")).alias("models"))
 
 
-def impute_power(requests: DataFrame, sample: DataFrame, scope: Scope, least: int = 3) -> DataFrame:
-    """Fills a missing power with the median of the narrowest group that has enough rows.
+#: The groups that can tell a typical power, the narrowest first, and the columns that name them.
+LEVELS = (("fuel", ("brand", "model", "fuel_type")), ("model", ("brand", "model")), ("brand", ("brand",)), ("all", ()))
 
-    Groups are brand+model+fuel, brand+model, brand, then all rows; `power_from` names the one used.
+
+def power_medians(sample: DataFrame, least: int = 3) -> DataFrame:
+    """The median power of every group that has enough rows, and of all rows: level, its names, n, median.
+
+    It is a table of a row for each group, made once and saved with a model; requests meet it instead of the listings.
+    Names that a level doesn't use are empty. A row with a missing name is in the groups that do not need it.
+    """
+    parts = LEVELS[0][1]
+    places = F.array(*[F.struct(F.lit(level).alias("level"), *[(F.col(c) if c in keys else F.lit("")).alias(c) for c in parts])
+                       for level, keys in LEVELS])
+    rows = sample.where("power_ps IS NOT NULL").select(F.explode(places).alias("place"), "power_ps").select("place.*", "power_ps")
+    medians = group_medians(rows, ["level", *parts], "power_ps")
+    return medians.where((F.col("n") >= least) | (F.col("level") == "all"))
+
+
+def impute_power(requests: DataFrame, medians: DataFrame, scope: Scope) -> DataFrame:
+    """Fills a missing power with the median of the narrowest group that `power_medians` has for the request.
+
+    `power_from` names the group used, or `request`, or `default`. Works on streams: the medians are the static side.
     """
-    # A missing part of a key does not take the row away from the groups that do not need it.
-    parts = ["brand", "model", "fuel_type"]
     filled = requests
-    levels = (("fuel", parts), ("model", parts[:2]), ("brand", parts[:1]))
-    for level, keys in levels:
-        medians = group_medians(sample, keys, "power_ps", f"_{level}").filter(F.col("n") >= least)
-        filled = filled.join(medians.drop("n"), keys, "left")
-    filled = filled.withColumn("_all", overall_median(sample, "power_ps"))
-    sources = [("request", "power_ps"), ("fuel", "_fuel"), ("model", "_model"), ("brand", "_brand"), ("all", "_all")]
+    for level, keys in LEVELS:
+        found = medians.where(F.col("level") == level)
+        if keys:
+            filled = filled.join(found.select(*keys, F.col("median").alias(f"_{level}")), list(keys), "left")
+        else:
+            filled = filled.withColumn(f"_{level}", found.agg(F.max("median")).scalar())
+    sources = [("request", "power_ps"), *[(level, f"_{level}") for level, _ in LEVELS]]
     origin = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(name)) for name, c in sources], F.lit("default"))
     value = F.coalesce(*[F.col(c).cast("double") for _, c in sources], F.lit(scope.default_power))
-    return filled.withColumn("power_from", origin).withColumn("power_ps", value).drop(
-        "_fuel", "_model", "_brand", "_all").select(*requests.columns, "power_from")
+    return filled.withColumn("power_from", origin).withColumn("power_ps", value).select(*requests.columns, "power_from")
 
 
 def fuel_options(requests: DataFrame, sample: DataFrame, scope: Scope) -> DataFrame:

@@ -5,14 +5,18 @@ the filter (same model, else same brand, else all), a scale per dimension from t
 listings with the smallest scaled distance.
 
 1. Counts and moments of every filter come from running totals over mileage, one lookup per request.
-2. Listings are summed up in a coarse grid. The grid gives each request a distance within which enough
-   listings are certain, and so the cells that can hold a neighbour.
-3. Only listings of those cells meet the request, joined on group and cell, and of listings with the same
-   numbers only as many as can be among the nearest.
+2. The listings of each group are divided at their medians, again and again, until no cell holds more than LEAF of
+   them. Requests go down this tree together, a level at a time; at each level the cells give a distance within
+   which enough listings are certain, and so the cells that can hold a neighbour.
+3. Only listings of those leaves meet the request, joined on group and cell, and of listings with the same
+   numbers only as many as can be among the nearest. So a request meets about as many listings in a large table as in
+   a small one.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +25,7 @@ from forecourt.functions.columns import euro, title_label
 from forecourt.operators.ordering import balanced_cuts, running_totals, with_range
 from forecourt.sources.storage import written
 
-GRID = 16  # ranges per dimension, so a group has at most 16 ** 3 cells
-REQUESTS_PER_COPY = 10_000  # requests for one group that judge its cells in one task
+LEAF = 16  # listings of a cell, unless they are alike in all numbers
 DIMS = ("mileage_in_km", "year", "power_ps")
 SUMS = ("n", "m1", "m2", "y1", "y2", "p1", "p2")
 
@@ -120,50 +123,63 @@ def _targets(requests: DataFrame, sample: DataFrame, least: int) -> DataFrame:
     )
 
 
-def _with_grid(sample: DataFrame) -> DataFrame:
-    gridded = sample
-    for i, (c, cuts) in enumerate(zip(DIMS, balanced_cuts(sample, list(DIMS), GRID))):
-        gridded = with_range(gridded, c, cuts, f"_g{i}")
-    return gridded.withColumn("cell", F.concat_ws(".", *[F.col(f"_g{i}").cast("int") for i in range(len(DIMS))])).drop(
-        *[f"_g{i}" for i in range(len(DIMS))])
+PLACE = ("kind", "name", "cell")
 
 
-def _search_plan(targets: DataFrame, gridded: DataFrame, n: int) -> DataFrame:
-    """Per request, the cells that can hold one of its n nearest listings."""
-    ends = [e for c in DIMS for e in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))]
-    fine = gridded.groupBy("brand", "model", "cell").agg(F.count(F.lit(1)).alias("rows"), *ends)
-    merged = [e for c in DIMS for e in (F.min(f"lo_{c}").alias(f"lo_{c}"), F.max(f"hi_{c}").alias(f"hi_{c}"))]
-    cells = (
-        _groups(fine).groupBy("kind", "name", "cell").agg(F.sum("rows").alias("rows"), *merged)
-        .groupBy("kind", "name")
-        .agg(F.collect_list(F.struct("cell", "rows", *[f"{e}_{c}" for c in DIMS for e in ("lo", "hi")])).alias("cells"))
-    )
+def _tree(listed: DataFrame, leaf: int) -> list[tuple[DataFrame, DataFrame]]:
+    """The listings of every group in cells, level by level: (rows still in question, the cells they lie in).
 
-    near = " + ".join(f"greatest(c.lo_{d} - at_{d}, at_{d} - c.hi_{d}, 0D) / scale_{d}" for d in DIMS)
-    far = " + ".join(f"greatest(abs(at_{d} - c.lo_{d}), abs(at_{d} - c.hi_{d})) / scale_{d}" for d in DIMS)
+    A cell with more than `leaf` rows is cut at the medians of its rows in all dimensions at once, which gives up to eight
+    cells of the next level; a digit is added to its name for each cut. Only rows of cells that are too large go on, so a
+    level costs one count and one pass over them, and there are as many levels as the largest group needs. Cells
+    whose rows are alike in all numbers are not cut.
+    """
+    open_, levels = written(listed.withColumn("cell", F.lit("r")), "rows"), []
+    while True:
+        cells = written(open_.groupBy(*PLACE).agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[e for c in DIMS for e in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"),
+                                        F.percentile_approx(c, 0.5, 100).alias(f"cut_{c}"))]), "cells")
+        alike = " AND ".join(f"lo_{c} = hi_{c}" for c in DIMS)
+        cells = cells.withColumn("leaf", F.expr(f"rows <= {leaf} OR ({alike})"))
+        levels.append((open_, cells))
+        wide = cells.where("NOT leaf").select(*PLACE, *[f"{e}_{c}" for c in DIMS for e in ("cut", "hi")])
+        if wide.isEmpty():
+            return levels
+        # A cut at the largest value puts that value on the far side: both sides hold rows.
+        sides = " + ".join(f"CASE WHEN {c} > cut_{c} OR ({c} = cut_{c} AND cut_{c} = hi_{c}) THEN {2 ** i} ELSE 0 END"
+                           for i, c in enumerate(DIMS))
+        open_ = written(open_.join(wide, list(PLACE)).withColumn("cell", F.expr(f"concat(cell, {sides})")).select(open_.columns), "rows")
+
+
+def _search_plan(targets: DataFrame, levels: list[tuple[DataFrame, DataFrame]], n: int) -> DataFrame:
+    """Per request, the leaves that can hold one of its n nearest listings.
+
+    A request goes down from the one cell of its group. At every level the far ends of the cells that lie wholly inside
+    its filter give a distance within which n listings are certain, and only cells that begin within it are opened:
+    some tens of them at a level, however many there are.
+    """
+    near = " + ".join(f"greatest(lo_{d} - at_{d}, at_{d} - hi_{d}, 0D) / scale_{d}" for d in DIMS)
+    far = " + ".join(f"greatest(abs(at_{d} - lo_{d}), abs(at_{d} - hi_{d})) / scale_{d}" for d in DIMS)
     km, year = DIMS[0], DIMS[1]
-    touches = f"c.lo_{km} <= most_km AND c.hi_{year} >= first_year AND c.lo_{year} <= last_year"
-    inside = f"c.hi_{km} <= most_km AND c.lo_{year} >= first_year AND c.hi_{year} <= last_year"
-    judged = (f"transform(filter(cells, c -> {touches}), c -> named_struct('far', {far}, "
-              f"'sure', CASE WHEN {inside} THEN c.rows ELSE 0L END, 'near', {near}, 'cell', c.cell))")
-    # Cells from the nearest outer edge on, until they are sure to hold n listings.
-    reach = ("aggregate(s, named_struct('have', 0L, 'reach', double('Infinity')), (acc, c) -> named_struct("
-             f"'have', acc.have + c.sure, 'reach', CASE WHEN acc.have < {n} AND acc.have + c.sure >= {n} "
-             "THEN c.far ELSE acc.reach END)).reach")
-    # The one-element arrays bind a value to a name: written as columns, the reach would be moved into the
-    # filter and worked out again for every cell. The slack covers the rounding of the bounds.
-    kept = (f"transform(array(sort_array({judged})), s -> transform(array({reach}), r -> "
-            "filter(s, c -> c.near <= r * (1 + 1e-9D) + 1e-9D))[0])[0]")
-    # Many requests may ask for the same group. Judging cells is work per request, so such a group's cells
-    # are copied as often as its number of requests demands, and the requests are dealt out to the copies.
-    copies = targets.groupBy("kind", "name").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(REQUESTS_PER_COPY)).cast("int").alias("copies"))
-    dealt = targets.join(copies, ["kind", "name"]).withColumn(
-        "copy", F.pmod(F.xxhash64("request_id"), F.col("copies")).cast("int")).drop("copies")
-    copied = cells.join(copies, ["kind", "name"]).withColumn(
-        "copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
-    return dealt.join(copied, ["kind", "name", "copy"]).withColumn(
-        "cell", F.expr(f"explode({kept}.cell)")).drop("cells", "copy")
+    touches = f"lo_{km} <= most_km AND hi_{year} >= first_year AND lo_{year} <= last_year"
+    inside = f"hi_{km} <= most_km AND lo_{year} >= first_year AND hi_{year} <= last_year"
+    judged = targets.columns + ["cell", "leaf", "near", "far", "sure"]
+    upto = Window.partitionBy("request_id").orderBy("far", "cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = Window.partitionBy("request_id")
+    frontier, rest = None, targets.withColumn("parent", F.lit(""))
+    for _, cells in levels:
+        children = cells.withColumn("parent", F.expr("substr(cell, 1, length(cell) - 1)")).drop(*[f"cut_{c}" for c in DIMS])
+        met = rest.join(children, ["kind", "name", "parent"]).where(touches).withColumns(
+            {"near": F.expr(near), "far": F.expr(far), "sure": F.expr(f"CASE WHEN {inside} THEN rows ELSE 0L END")}).select(*judged)
+        # The slack covers the rounding of the bounds.
+        reach = F.coalesce(F.min(F.when(F.col("have") >= n, F.col("far"))).over(every), F.lit(float("inf")))
+        frontier = met if frontier is None else frontier.unionByName(met)
+        frontier = written(frontier.withColumn("have", F.sum("sure").over(upto)).withColumn("reach", reach)
+                           .where(F.col("near") <= F.col("reach") * (1 + 1e-9) + 1e-9).select(*judged), "frontier")
+        rest = frontier.where("NOT leaf").drop("leaf", "near", "far", "sure").withColumnRenamed("cell", "parent")
+        frontier = frontier.where("leaf")
+    return frontier.drop("leaf", "near", "far", "sure")
 
 
 def similar_listings(requests: DataFrame, sample: DataFrame, n: int = 8, least: int = 5,
@@ -171,33 +187,42 @@ def similar_listings(requests: DataFrame, sample: DataFrame, n: int = 8, least:
     """The n nearest listings of each request, `rank` 1 first; equal distances by listing key.
 
     Requests: request_id, brand, model, year, min_year, max_year, power_ps, mileage_in_km, none of the
-    numbers NULL. Sample: cleaned listings with a key.
+    numbers NULL. Sample: cleaned listings with a key that no two of them share.
     """
-    numbers = {c: F.col(c).cast("double") for c in DIMS}
-    sample, requests = sample.withColumns(numbers), requests.withColumns(numbers)
-    gridded = _with_grid(sample)
-    # Written, so that the size of the plan is known when the listings are joined: Spark broadcasts it
-    # while it is small and shuffles both sides when it is not.
-    targets = written(_targets(requests, sample, least), "targets")
-    plan = written(_search_plan(targets, gridded, n), "search-plan")
-    place = ["kind", "name", "cell"]
-    listed = _groups(gridded, keep=("brand", "model")).join(plan.select(*place).distinct(), place, "left_semi")
-    # Of listings alike in all three numbers only the n first keys can be among the n nearest of any request,
-    # so a crowd of copies shrinks to n rows before it meets the requests, in every task already.
-    alike = Window.partitionBy("kind", "name", "cell", *DIMS).orderBy(key)
-    listed = listed.withColumn("_copy", F.row_number().over(alike)).filter(F.col("_copy") <= n).drop("_copy")
-    pairs = plan.join(listed, place)
+    pairs = met_listings(requests, sample, n, least, key)
     score = sum((F.abs(F.col(c) - F.col(f"at_{c}")) / F.col(f"scale_{c}") for c in DIMS[1:]),
                 F.abs(F.col(DIMS[0]) - F.col(f"at_{DIMS[0]}")) / F.col(f"scale_{DIMS[0]}"))
     # The limit on the rank is applied in every task before the shuffle.
     nearest = Window.partitionBy("request_id").orderBy("score", key)
-    return (
+    found = (
         pairs.filter((F.col("mileage_in_km") <= F.col("most_km"))
                      & F.col("year").between(F.col("first_year"), F.col("last_year")))
         .withColumn("score", score)
         .withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= n)
-        .select("request_id", "rank", "score", F.col("kind").alias("matched_on"), *sample.columns)
+        .select("request_id", "rank", "score", F.col("kind").alias("matched_on"), key)
     )
+    return found.join(sample.withColumns({c: F.col(c).cast("double") for c in DIMS}), key).select(
+        "request_id", "rank", "score", "matched_on", *sample.columns)
+
+
+def met_listings(requests: DataFrame, sample: DataFrame, n: int = 8, least: int = 5, key: str = "listing_id") -> DataFrame:
+    """The pairs that are compared: every request beside the listings of the cells that can hold a nearest one."""
+    numbers = {c: F.col(c).cast("double") for c in DIMS}
+    sample, requests = sample.withColumns(numbers), requests.withColumns(numbers)
+    # Written, so that the size of the plan is known when the listings are joined: Spark broadcasts it
+    # while it is small and shuffles both sides when it is not.
+    targets = written(_targets(requests, sample, least), "targets")
+    # Of listings alike in all three numbers only the n first keys can be among the n nearest of any request,
+    # so a crowd of copies shrinks to n rows in every task, before the shuffle.
+    copies = Window.partitionBy("brand", "model", *DIMS).orderBy(key)
+    listed = sample.select("brand", "model", *DIMS, key).withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= n)
+    levels = _tree(_groups(listed.drop("_copy")), LEAF)
+    plan = written(_search_plan(targets, levels, n), "search-plan")
+    leaves = plan.select(*PLACE).distinct()
+    held = reduce(DataFrame.unionByName, [rows.join(leaves, list(PLACE), "left_semi") for rows, _ in levels])
+    alike = Window.partitionBy(*PLACE, *DIMS).orderBy(key)
+    held = held.withColumn("_copy", F.row_number().over(alike)).filter(F.col("_copy") <= n).drop("_copy")
+    return plan.join(held, list(PLACE))
 
 
 def display_labels(similar: DataFrame) -> DataFrame:

@@ -17,15 +17,20 @@ from forecourt.operators.lookups import impute_power
 
 @dataclass(frozen=True)
 class Valuer:
-    """Two fitted pipelines that take the same feature columns, and the price that divides the segments."""
+    """Two fitted pipelines that take the same feature columns, the price that divides the segments, and the table of
+    typical powers (`lookups.power_medians`) for requests that do not know theirs."""
 
     classifier: PipelineModel
     regressor: PipelineModel
     threshold: float
+    medians: DataFrame
+
+
+MEDIANS = "level string, brand string, model string, fuel_type string, n bigint, median double"
 
 
 def model_save(valuer: Valuer, spark: SparkSession, path: str) -> str:
-    """Writes both pipelines and the threshold under one path."""
+    """Writes both pipelines, the threshold and the lookups under one path: a path is one version of all of them."""
     valuer.classifier.write().overwrite().save(f"{path}/classifier")
     valuer.regressor.write().overwrite().save(f"{path}/regressor")
     note = spark.range(1).select(
@@ -35,6 +40,7 @@ def model_save(valuer: Valuer, spark: SparkSession, path: str) -> str:
         F.lit("divides the price segments when requests are scored").alias("note"),
     )
     note.coalesce(1).write.mode("overwrite").json(f"{path}/threshold")
+    valuer.medians.select([c.split()[0] for c in MEDIANS.split(", ")]).write.mode("overwrite").parquet(f"{path}/medians")
     return path
 
 
@@ -42,7 +48,7 @@ def model_load(spark: SparkSession, path: str) -> Valuer:
     schema = "price_segment_threshold double, label_HIGH int, label_LOW int, derivation string, note string"
     note = spark.read.schema(schema).json(f"{path}/threshold").first()
     return Valuer(PipelineModel.load(f"{path}/classifier"), PipelineModel.load(f"{path}/regressor"),
-                  note["price_segment_threshold"])
+                  note["price_segment_threshold"], spark.read.schema(MEDIANS).parquet(f"{path}/medians"))
 
 
 def score_features(rows: DataFrame, valuer: Valuer, scope: Scope, keep=("request_id",)) -> DataFrame:
@@ -62,8 +68,8 @@ def score_features(rows: DataFrame, valuer: Valuer, scope: Scope, keep=("request
     )
 
 
-def score_listings(requests: DataFrame, valuer: Valuer, scope: Scope, sample: DataFrame) -> DataFrame:
-    """Scores a table or a stream of requests. An unknown power is estimated from the sample of listings, so no
-    request fails for it; on a stream the sample is the static side of the joins."""
-    powered = impute_power(requests, sample, scope).drop("power_from")
+def score_listings(requests: DataFrame, valuer: Valuer, scope: Scope) -> DataFrame:
+    """Scores a table or a stream of requests. An unknown power is looked up among the medians that were saved with the
+    model, so no request fails for it and no batch reads the listings again."""
+    powered = impute_power(requests, valuer.medians, scope).drop("power_from")
     return score_features(build_input_row(powered, scope), valuer, scope)

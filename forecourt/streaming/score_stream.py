@@ -22,14 +22,15 @@ def _appended(rows: DataFrame, out: str, checkpoint: str, trigger: dict | None)
     )
 
 
-def score_stream(requests: DataFrame, valuer: Valuer, scope: Scope, sample: DataFrame, out: str, rejects: str,
-                 checkpoint: str, trigger: dict | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+def score_stream(requests: DataFrame, valuer: Valuer, scope: Scope, out: str, rejects: str, checkpoint: str,
+                 trigger: dict | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """Starts a query that appends scored requests to `out` and one that appends those out of bounds, with their
-    reasons, to `rejects`: every request arrives in one of them. Unknown powers are estimated from the sample.
+    reasons, to `rejects`: every request arrives in one of them. Unknown powers are looked up in the table saved with
+    the model; a micro-batch reads that and no listing.
 
     Rows are scored one by one, so the queries keep no state; each one's checkpoint remembers the files that were
     read and the sink's log the files that were written, so a restart neither drops nor repeats a request.
     """
     valid, wrong = split_requests(requests, scope)
-    return (_appended(score_listings(valid, valuer, scope, sample), out, f"{checkpoint}/scored", trigger),
+    return (_appended(score_listings(valid, valuer, scope), out, f"{checkpoint}/scored", trigger),
             _appended(wrong, rejects, f"{checkpoint}/rejects", trigger))

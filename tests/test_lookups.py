@@ -12,7 +12,7 @@ from forecourt.operators import similar as s
 from forecourt.operators.compare import compare_pairs
 from forecourt.operators.explain import explain_listing
 from forecourt.operators.features import build_input_row, input_bounds, split_requests, with_midpoint
-from forecourt.operators.lookups import brand_context, brand_model_options, fuel_options, impute_power
+from forecourt.operators.lookups import brand_context, brand_model_options, fuel_options, impute_power, power_medians
 
 SAMPLE = "listing_id string, brand string, model string, fuel_type string, year double, power_ps double, " \
          "mileage_in_km double, price_in_euro double"
@@ -60,9 +60,9 @@ def test_power_comes_from_the_narrowest_group(spark, sample, known):
                 return known[mask].power_ps.median()
         return known.power_ps.median()
 
-    got = {r["request_id"]: r["power_ps"] for r in impute_power(df, sample, Scope()).collect()}
+    got = {r["request_id"]: r["power_ps"] for r in impute_power(df, power_medians(sample), Scope()).collect()}
     assert got == {i: want(*a) for i, a in enumerate(asked)}
-    nothing = impute_power(df, sample.limit(0), Scope()).collect()
+    nothing = impute_power(df, power_medians(sample.limit(0)), Scope()).collect()
     assert {(r["power_ps"], r["power_from"]) for r in nothing} == {(150.0, "default")}
 
 
@@ -121,15 +121,47 @@ def test_similar_listings_equal_brute_force(spark, sample, known):
         assert list(mine["listing_id"]) == [w[1] for w in want], rid
 
 
-def test_similar_with_a_coarse_and_a_fine_grid(spark, sample, monkeypatch):
+def test_similar_with_small_and_large_cells(spark, sample, monkeypatch):
     _, df = requests(spark)
     pick = lambda: sorted((r["request_id"], r["rank"], r["listing_id"])
                           for r in s.similar_listings(df, sample).collect())
-    monkeypatch.setattr(s, "GRID", 2)
-    coarse = pick()
-    monkeypatch.setattr(s, "GRID", 40)
-    monkeypatch.setattr(s, "REQUESTS_PER_COPY", 3)
-    assert coarse == pick()
+    whole = pick()
+    for leaf in (1, 7, 100_000):
+        monkeypatch.setattr(s, "LEAF", leaf)
+        assert whole == pick(), leaf
+
+
+def test_cells_divide_the_listings(spark, monkeypatch):
+    """Every listing lies in one leaf of each of its groups, within that leaf's ends; only copies fill a large one."""
+    rng = np.random.default_rng(2)
+    rows = [(f"{i:05d}", "a", "a one" if i % 3 else "a two", float(rng.integers(2000, 2020)), 100.0, float(rng.exponential(50000))) for i in range(700)]
+    rows += [(f"x{i:04d}", "a", "a one", 2010.0, 100.0, 5.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "listing_id string, brand string, model string, year double, power_ps double, mileage_in_km double")
+    levels = s._tree(s._groups(df), 10)
+    leaves = [rows.join(cells.where("leaf"), list(s.PLACE)) for rows, cells in levels]
+    held = leaves[0].unionByName(leaves[1]).toPandas()
+    for rest in leaves[2:]:
+        held = pd.concat([held, rest.toPandas()])
+    assert len(held) == 3 * len(rows) == len(held[["kind", "name", "listing_id"]].drop_duplicates())
+    for c in s.DIMS:
+        assert ((held[c] >= held[f"lo_{c}"]) & (held[c] <= held[f"hi_{c}"])).all()
+    sizes = held.groupby(["kind", "name", "cell"]).size()
+    assert (sizes == held.groupby(["kind", "name", "cell"])["rows"].first()).all()
+    assert len(sizes[sizes > 10]) == 3 and sizes.max() == 60 and len(levels) > 3  # the copies, in model, brand and all
+
+
+def test_a_request_meets_as_many_listings_in_a_large_table(spark):
+    rng = np.random.default_rng(3)
+
+    def met(n):
+        rows = [(f"{i:06d}", "a", "a one", float(y), float(p), float(k)) for i, (y, p, k) in enumerate(
+            zip(rng.uniform(2000, 2020, n), rng.uniform(50, 300, n), rng.uniform(0, 200000, n)))]
+        df = spark.createDataFrame(rows, "listing_id string, brand string, model string, year double, power_ps double, mileage_in_km double")
+        asked = spark.createDataFrame([(i, "a", "a one", 2004 + i, 2000, 2019, 60.0 + 20 * i, 150000.0) for i in range(10)],
+                                      "request_id int, brand string, model string, year int, min_year int, max_year int, power_ps double, mileage_in_km double")
+        return s.met_listings(asked, df).count() / 10
+
+    assert met(64_000) < 1.5 * met(8_000) < 1_500
 
 
 def test_explanations(spark, known, sample):
