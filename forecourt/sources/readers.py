@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,24 +25,86 @@ def text_schema(columns=RAW_COLUMNS) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+@dataclass(frozen=True)
+class Scan:
+    """A read of raw files: `kept` rows by column name, `quarantined` records as (file, reason, raw)."""
+
+    kept: DataFrame
+    quarantined: DataFrame
+
+
+#: What stands between two quotes, doubled quotes included.
+_QUOTED = '"([^"]|"")*"'
+
+
+def _layouts(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
+    """(file, header, whole) of every file, from one pass over its lines: whether it must be read by one task.
+
+    A line break inside quotes leaves its line with an odd number of quotes. Files without such a line are split at
+    line breaks like any text; in the others a split could begin inside a record. The driver gets a row for each
+    file, as it does to plan any scan.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start").withColumn(
+        "_at", F.monotonically_increasing_id())
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    head = F.when((F.col("file_block_start") == 0) & (F.length("value") > 0), F.col("_at"))
+    found = lines.groupBy("file_path").agg(F.min_by("value", head).alias("header"), F.max(quotes % 2 == 1).alias("whole"))
+    return [(r.file_path, r.header, r.whole) for r in found.orderBy("file_path").collect() if r.header is not None]
+
+
+def scan_records(spark: SparkSession, path: str, columns=RAW_COLUMNS) -> Scan:
+    """Raw CSV files as text, columns by the names in each file's own header, in whatever order it has them.
+
+    A record with fewer fields than the header has missing values at its end. A record with more fields, or with a quote
+    that is never closed, is not guessed at: it goes to `quarantined` with its raw text. Quoted line breaks, separators and
+    doubled quotes belong to their field. Every record is in one of the two tables. Columns that were not asked for
+    are left out. A missing path, and a header that lacks a wanted column or repeats one, fail when the plan is built; files
+    without a line hold no record.
+    """
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for file, header, whole in _layouts(spark, path):
+        names = tuple(next(csv.reader([header.removeprefix("\ufeff")])))
+        missing, repeated = [c for c in columns if c not in names], [c for c in columns if names.count(c) > 1]
+        if missing or repeated:
+            raise ValueError(f"{file}: columns missing {missing}, repeated {repeated}")
+        groups.setdefault((names, whole), []).append(file)
+    parts = [spark.createDataFrame([], text_schema([*columns, "_file", "_raw", "_reason"]))]
+    for (names, whole), files in sorted(groups.items()):
+        places = [f"_{i}" for i in range(len(names))]
+        # Without column pruning a record is parsed as a whole, whichever columns are asked for in the end.
+        rows = spark.read.schema(text_schema([*places, "_raw"])).option("header", True).option("enforceSchema", True) \
+            .option("multiLine", whole).option("escape", '"').option("columnPruning", False).option("maxCharsPerColumn", -1) \
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_raw").csv(files)
+        given = F.size(F.split(F.regexp_replace("_raw", _QUOTED, ""), ",", -1))
+        quotes = F.length("_raw") - F.length(F.replace("_raw", F.lit('"'), F.lit("")))
+        # Most records parse; naming a field here also lets Spark count the wrong ones without reading the others.
+        reason = F.when(F.col("_raw").isNull() & F.col(places[0]).isNull(), F.lit(None)) \
+            .when(quotes % 2 == 1, F.lit("unclosed quote")).when(given > len(names), F.lit("too many fields"))
+        parts.append(rows.select(*[F.col(places[names.index(c)]).alias(c) for c in columns], F.col("_metadata.file_path").alias("_file"),
+                                 F.when(reason.isNotNull(), F.col("_raw")).alias("_raw"), reason.alias("_reason")))
+    records = reduce(DataFrame.unionByName, parts)
+    kept = records.where("_reason IS NULL").select([null_if_token(F.col(f"`{c}`")).alias(c) for c in columns])
+    return Scan(kept, records.where("_reason IS NOT NULL").select(
+        F.col("_file").alias("file"), F.col("_reason").alias("reason"), F.col("_raw").alias("raw")))
+
+
+def scan_audit(scan: Scan) -> DataFrame:
+    """Records read, kept and quarantined, one row for each reason that occurred."""
+    kept = scan.kept.agg(F.count(F.lit(1)).alias("kept"))
+    wrong = scan.quarantined.groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    return wrong.select("reason", "records").unionByName(kept.select(F.lit("kept").alias("reason"), F.col("kept").alias("records"))) \
+        .withColumn("read", F.sum("records").over(Window.partitionBy(F.lit(1))))
+
+
 def scan_listings(spark: SparkSession, path: str, columns=RAW_COLUMNS, fmt: str = "csv") -> DataFrame:
-    """Raw listings as text. A missing path fails when the plan is built."""
-    reader = spark.read.schema(text_schema(columns))
+    """Raw listings as text. A missing path fails when the plan is built. Of CSV files only the records that parse; those
+    that do not are in `scan_records(...).quarantined`."""
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", False).option("escape", '"')
-    raw = reader.format(fmt).load(path)
+        return scan_records(spark, path, columns).kept
+    raw = spark.read.schema(text_schema(columns)).format(fmt).load(path)
     return raw.select([null_if_token(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
 def coerce_numeric(df: DataFrame, columns=NUMBERS) -> DataFrame:
     """Text columns to doubles, unreadable values to NULL."""
     return df.withColumns({c: to_number(F.col(c)) for c in columns if c in df.columns})
-
-
-def load_options(spark: SparkSession, path: str) -> DataFrame:
-    """A saved lookup of brand and model."""
-    return spark.read.schema(text_schema(("brand", "model"))).option("header", True).csv(path)
-
-
-def load_leaderboard(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
