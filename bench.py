@@ -45,8 +45,8 @@ def main() -> None:
     times["fit_dummy_regressor"] = timed(lambda: drain(ladder.dummy_regressor(train, rows)))
     for name, estimator in {**CLASSIFIERS, **REGRESSORS}.items():
         times[f"fit_{name}"] = timed(lambda e=estimator: e().fit(ladder.encode(rows, q.SEEDS).side("train")))
-    fitted, asked, sample = q.valuer(spark, sf_dir), q._allowed(spark, sf_dir), q._sample(spark, sf_dir)
-    times["score_listings"] = timed(lambda: drain(scoring.score_listings(asked, fitted, q.SCOPE, sample)))
+    fitted, asked = q.valuer(spark, sf_dir), q._allowed(spark, sf_dir)
+    times["score_listings"] = timed(lambda: drain(scoring.score_listings(asked, fitted, q.SCOPE)))
     print(json.dumps({"metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(Path(sf_dir).name.removeprefix("sf") or 0)}))
 

@@ -558,15 +558,22 @@ FROM (VALUES (0), (1)) t(v)""",
             ("ridge_ladder", "ridge", "true AS no_slope"),
             ("tree_classifier", "tree classifier", "0::BIGINT AS wrong_leaves, true AS split"),
             ("tree_regressor", "tree regressor", "0::BIGINT AS wrong_leaves, true AS split"),
-            ("boosted_classifier", "boosted classifier", "271 AS rounds, 7 AS depth, true AS loss_falls"),
-            ("boosted_regressor", "boosted regressor", "271 AS rounds, 7 AS depth, true AS loss_falls"))},
+            ("boosted_classifier", "boosted classifier", "271 AS rounds, 7 AS depth, true AS loss_falls, true AS loss_is_the_rows, true AS below_dummy"),
+            ("boosted_regressor", "boosted regressor", "271 AS rounds, 7 AS depth, true AS loss_falls, true AS loss_is_the_rows, true AS below_dummy"))},
         **{name: f"SELECT '{model}' AS model, count(*) FILTER (kept) + 4 AS features, 1.0::DOUBLE AS total, 0::BIGINT AS "
                  "negative, 0::BIGINT AS unknown FROM varied" for name, model in (
             ("feature_importance", "boosted classifier"), ("feature_importance_regressor", "boosted regressor"))},
-        **{name: f"SELECT {n}::BIGINT AS draws, {n}::BIGINT AS settings, true AS best_is_extreme, 3 AS folds, count(*) AS "
+        **{name: f"SELECT {n}::BIGINT AS draws, {n}::BIGINT AS settings, {3 * n}::BIGINT AS fits, true AS best_is_extreme, 3 AS folds, count(*) AS "
                  "train_rows FROM train" for name, n in (
-            ("random_search", 2), ("grid_search", 5), ("grid_search_logistic", 4), ("grid_search_tree_classifier", 4),
-            ("grid_search_tree_regressor", 4))},
+            ("grid_search", 5), ("grid_search_logistic", 4), ("grid_search_tree_classifier", 4), ("grid_search_tree_regressor", 4))},
+        **{name: "SELECT 6::BIGINT AS draws, 6::BIGINT AS settings, 18::BIGINT AS fits, true AS best_is_extreme, 3 AS folds, count(*) AS train_rows, "
+                 "true AS within_ranges, true AS refitted_rounds FROM train" for name in ("random_search", "random_search_regressor")},
+        "model_report": """
+SELECT 42 AS seed, CAST(count(*) + 4 AS INTEGER) AS features_before_selection, CAST(count(*) FILTER (NOT kept) AS INTEGER) AS features_removed,
+  (SELECT round(threshold, 6) FROM limits) AS threshold, 'dummy,logistic,tree,boosted' AS classifiers, 'dummy,ridge,tree,boosted' AS regressors,
+  10.0::DOUBLE AS logistic_c, 15 AS tree_depth, 271 AS boosted_rounds, 0.1::DOUBLE AS ridge_alpha, 7 AS boosted_depth,
+  true AS best_classifier_is_extreme, true AS best_regressor_is_extreme, 2 AS searches, 12::BIGINT AS draws, 36::BIGINT AS fits,
+  true AS best_within_ranges FROM varied""",
         "score_stream": "SELECT request_id, true AS as_batch FROM bounded WHERE rejected_for = ''",
     }
     return {name: VIEWS + tail for name, tail in tails.items()}

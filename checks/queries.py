@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+import math
+from functools import cache, reduce
 
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import vector_to_array
@@ -15,9 +17,10 @@ from forecourt.functions.columns import title_label
 from forecourt.operators import cleaning, features, metrics, profiling, splitting
 from forecourt.operators.compare import compare_pairs
 from forecourt.operators.explain import explain_listing
-from forecourt.operators.lookups import brand_context, brand_model_options, fuel_options, impute_power
+from forecourt.operators.lookups import brand_context, brand_model_options, fuel_options, impute_power, power_medians
 from forecourt.operators.similar import display_labels, similar_listings
 from forecourt.plans import encode, ladder, reports, scoring, search
+from forecourt.plans.registry import Registry
 from forecourt.sources import readers, sinks
 from forecourt.sources.storage import scratch, written
 from forecourt.streaming.score_stream import read_requests, score_stream
@@ -107,12 +110,16 @@ def valuer(spark, d) -> scoring.Valuer:
     enc = encoded(spark, d)
     train = enc.side("train")
     threshold = spark.range(1).select(features.train_threshold(t.split(spark, d))).first()[0]
-    return scoring.Valuer(ladder.complete(enc, ladder.tree_classifier().fit(train)),
-                          ladder.complete(enc, ladder.tree_regressor().fit(train)), threshold)
+    return scoring.Valuer(ladder.complete(enc, ladder.timed_fit(ladder.tree_classifier(), train)[0]),
+                          ladder.complete(enc, ladder.timed_fit(ladder.tree_regressor(), train)[0]), threshold, medians(spark, d))
 
 
-def _powered(spark, d, sample) -> DataFrame:
-    return features.with_midpoint(impute_power(t.requests(spark, d), sample, SCOPE).drop("power_from"))
+def medians(spark, d) -> DataFrame:
+    return written(power_medians(t.clean(spark, d)), "medians")
+
+
+def _powered(spark, d) -> DataFrame:
+    return features.with_midpoint(impute_power(t.requests(spark, d), medians(spark, d), SCOPE).drop("power_from"))
 
 
 def _allowed(spark, d) -> DataFrame:
@@ -121,15 +128,11 @@ def _allowed(spark, d) -> DataFrame:
     return written(valid, "requests")
 
 
-def _sample(spark, d) -> DataFrame:
-    return written(t.clean(spark, d), "clean")
-
-
 def model_save(spark, d):
     """Saves, loads and scores with both; counts requests on which they differ."""
-    fitted, rows, sample = valuer(spark, d), _allowed(spark, d), _sample(spark, d)
+    fitted, rows = valuer(spark, d), _allowed(spark, d)
     loaded = scoring.model_load(spark, scoring.model_save(fitted, spark, scratch(spark, "models")))
-    both = [scoring.score_listings(rows, v, SCOPE, sample).select("request_id", F.struct("price", "p_high").alias(n))
+    both = [scoring.score_listings(rows, v, SCOPE).select("request_id", F.struct("price", "p_high").alias(n))
             for v, n in ((fitted, "before"), (loaded, "after"))]
     return both[0].join(both[1], "request_id").agg(
         F.count(F.lit(1)).alias("requests"), F.count_if(F.col("before") != F.col("after")).alias("different"))
@@ -142,13 +145,54 @@ def model_load(spark, d):
                                  F.lit(len(loaded.regressor.stages)).alias("regressor_stages"))
 
 
+@cache
+def _runs_folder(session: str, d: str) -> str:
+    return scratch(SparkSession.active(), "registry")
+
+
+def registry(spark, d) -> Registry:
+    """The runs over a table's training rows in this session: a fit that one query has made is not made again."""
+    return Registry(spark, _runs_folder(spark.sparkContext.applicationId, d))
+
+
 def model_report(spark, d):
-    enc = encoded(spark, d)
-    cls_board, _ = ladder.classification_ladder(enc, {"tree": ladder.tree_classifier()})
-    reg_board, _ = ladder.regression_ladder(enc, {"ridge": ladder.Ridge()})
-    report = reports.model_report(cls_board, reg_board, enc.preprocessing, valuer(spark, d).threshold,
-                                  {"tree": "depth 15", "ridge": "alpha 0.1"}, SEEDS)
-    return sinks.write_json(report, scratch(spark, "model-report"))
+    """All rungs of both ladders and both random searches at their stated settings, from the registry alone."""
+    runs, enc = registry(spark, d), encoded(spark, d)
+    ladder.classification_ladder(enc, registry=runs)
+    ladder.regression_ladder(enc, registry=runs)
+    _random(spark, d, True)
+    _random(spark, d, False)
+    threshold = spark.range(1).select(features.train_threshold(t.split(spark, d))).first()[0]
+    report = reports.model_report(runs, enc.preprocessing, threshold, SEEDS)
+    back = sinks.write_json(report, scratch(spark, "model-report"))
+    setting = lambda rungs, model, name: F.get_json_object(
+        F.filter(rungs, lambda r: r["model"] == model)[0]["settings"], f"$.{name}")
+    both = F.filter("searches", lambda x: x["run"].startswith("random_search"))
+    best = lambda rungs, metric: F.array_max(F.transform(rungs, lambda r: r["metrics"][metric]))
+    of = lambda rungs, model, metric: F.filter(rungs, lambda r: r["model"] == F.col(model))[0]["metrics"][metric]
+    names = lambda rungs: F.array_join(F.transform(rungs, lambda r: r["model"]), ",")
+    total = lambda field: F.aggregate(F.transform(both, lambda x: x[field]), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return back.select(
+        "seed", "features_before_selection", "features_removed", F.round("price_segment_threshold", 6).alias("threshold"),
+        names(F.col("classification")).alias("classifiers"), names(F.col("regression")).alias("regressors"),
+        setting("classification", "logistic", "c").cast("double").alias("logistic_c"),
+        setting("classification", "tree", "maxDepth").cast("int").alias("tree_depth"),
+        setting("classification", "boosted", "maxIter").cast("int").alias("boosted_rounds"),
+        setting("regression", "ridge", "alpha").cast("double").alias("ridge_alpha"),
+        setting("regression", "boosted", "maxDepth").cast("int").alias("boosted_depth"),
+        (of("classification", "best_classifier", "f1_macro") == best("classification", "f1_macro")).alias("best_classifier_is_extreme"),
+        (of("regression", "best_regressor", "r2") == best("regression", "r2")).alias("best_regressor_is_extreme"),
+        F.size(both).alias("searches"), total("draws").alias("draws"), total("fits").alias("fits"),
+        F.forall(both, lambda x: F.get_json_object(x["best_settings"], "$.maxIter").cast("int").between(*search.ROUNDS)
+                 & F.get_json_object(x["best_settings"], "$.maxDepth").cast("int").between(*search.DEPTHS)).alias("best_within_ranges"))
+
+
+def leaderboards(spark, d):
+    """Every rung of both ladders with its test metrics, as the registry has them."""
+    runs, enc = registry(spark, d), encoded(spark, d)
+    ladder.classification_ladder(enc, registry=runs)
+    ladder.regression_ladder(enc, registry=runs)
+    return runs.of(ladder.LADDER).select("task", "model", "settings", F.explode("metrics").alias("metric", "value"), "seconds")
 
 
 def options(spark, d):
@@ -229,8 +273,7 @@ def labels(spark, d):
 
 
 def impute(spark, d):
-    sample = written(t.clean(spark, d), "clean")
-    return impute_power(t.requests(spark, d), sample, SCOPE).select("request_id", "power_ps", "power_from")
+    return impute_power(t.requests(spark, d), medians(spark, d), SCOPE).select("request_id", "power_ps", "power_from")
 
 
 def fuels(spark, d):
@@ -240,7 +283,7 @@ def fuels(spark, d):
 
 def similar(spark, d):
     sample = written(t.clean(spark, d), "clean")
-    asked = written(_powered(spark, d, sample), "requests")
+    asked = written(_powered(spark, d), "requests")
     return rounded(similar_listings(asked, sample).select(
         "request_id", "rank", "score", "matched_on", "listing_id", "model", "year", "power_ps", "mileage_in_km",
         TARGET), "score")
@@ -248,7 +291,7 @@ def similar(spark, d):
 
 def explain(spark, d):
     sample = written(t.clean(spark, d), "clean")
-    return explain_listing(_powered(spark, d, sample), sample, SCOPE).select(
+    return explain_listing(_powered(spark, d), sample, SCOPE).select(
         "request_id", F.array_join("reasons", ",").alias("reasons"), F.array_join("sentences", " | ").alias("sentences"))
 
 
@@ -490,42 +533,72 @@ def _tree(estimator, label, name):
 
 
 def _boosted(estimator, label, name):
+    task, metric = ("regression", "squared") if label == TARGET else ("classification", "logistic")
+
     def query(spark, d):
-        """271 rounds of depth 7: the loss of the training rows after the last round is below that after the first."""
+        """271 rounds of depth 7: the loss of the training rows after the last round is that of the rows' own predictions,
+        below that after the first round and below that of the dummy rung."""
         enc = encoded(spark, d)
         train = enc.side("train")
-        fitted = estimator().fit(train)
-        losses = fitted.evaluateEachIteration(train, "squared") if label == TARGET else fitted.evaluateEachIteration(train)
+        fitted, _ = ladder.rung("boosted", estimator(), enc, task, registry(spark, d))
+        losses = fitted.evaluateEachIteration(train, metric)
+        rows, y = fitted.transform(train), F.col(label).cast("double")
+        # Boosting learns -1 and 1; the margin is what its raw prediction has for 1.
+        sign = 2 * y - 1
+        margin = vector_to_array("rawPrediction")[1] if label == SEGMENT else F.col("prediction")
+        loss = 2 * F.log1p(F.exp(-2 * sign * margin)) if label == SEGMENT else F.pow(y - margin, 2)
+        own, share, spread = rows.agg(F.avg(loss), F.avg(y), F.var_pop(y)).first()
+        dummy = spread if label == TARGET else 2 * math.log(2) if share in (0, 1) else -2 * (share * math.log(share) + (1 - share) * math.log(1 - share))
         return _sides(enc.rows).select(
             F.lit(name).alias("model"), "*", F.lit(fitted.getNumTrees).alias("rounds"), F.lit(max(t.depth for t in fitted.trees)).alias("depth"),
-            F.lit(losses[-1] < losses[0]).alias("loss_falls"))
+            F.lit(losses[-1] < losses[0]).alias("loss_falls"), F.lit(abs(losses[-1] - own) <= 1e-6 * max(1.0, own)).alias("loss_is_the_rows"),
+            F.lit(own < dummy).alias("below_dummy"))
 
     return query
 
 
-def random_search(spark, d):
-    # Six draws of 200 to 399 rounds in three folds are 19 fits of minutes each here: the ranges are cut (see README).
+#: Fits of a search that run at a time; each has few partitions here.
+TOGETHER = 6
+
+
+def _random(spark, d, classify: bool) -> search.Searched:
     train = written(t.labelled(spark, d).filter("split = 'train'"), "train")
-    found = search.random_search(train, classify=True, draws=2, seeds=SEEDS, rounds=(2, 4), depths=(2, 4))
-    return _searched(spark, found, train)
+    return search.random_search(train, classify, registry(spark, d), seeds=SEEDS, parallelism=TOGETHER)
+
 
+def _random_search(classify: bool):
+    def query(spark, d):
+        """Six draws of 200 to 399 rounds and a depth of 5 to 8 in three folds, and the best one on all training rows."""
+        found = _random(spark, d, classify)
+        n = lambda name: F.get_json_object("settings", f"$.{name}")
+        ranges = found.table().agg(
+            F.bool_and(n("maxIter").cast("int").between(*search.ROUNDS) & n("maxDepth").cast("int").between(*search.DEPTHS)
+                       & n("stepSize").cast("double").between(*search.RATES) & n("subsamplingRate").cast("double").between(*search.ROW_SHARES)
+                       & n("featureSubsetStrategy").cast("double").between(*search.COLUMN_SHARES))).scalar()
+        model = found.model().stages[0]
+        best = found.best()
+        return _searched(spark, d, found).withColumns({
+            "within_ranges": ranges, "refitted_rounds": F.lit(model.getNumTrees == int(json.loads(best.settings)["maxIter"]))})
 
-def _searched(spark, found, train) -> DataFrame:
-    """Draws in order with the one that is best, and the rows that the folds share out."""
-    larger = found.getEvaluator().isLargerBetter()
-    extreme = (max if larger else min)(found.avgMetrics)
-    table = search.search_table(spark, found)
-    return table.groupBy().agg(
-        F.count("*").alias("draws"), F.count_distinct("settings").alias("settings"),
+    return query
+
+
+def _searched(spark, d, found: search.Searched) -> DataFrame:
+    """Draws with the one that is best, and the rows that the folds share out."""
+    metrics = [r.metric for r in found.table().collect()]
+    extreme = (max if found.larger else min)(metrics)
+    return found.table().groupBy().agg(
+        F.count("*").alias("draws"), F.count_distinct("settings").alias("settings"), F.sum("fits").alias("fits"),
         F.bool_and(F.col("best") == (F.col("metric") == F.lit(extreme))).alias("best_is_extreme")) \
-        .withColumn("folds", F.lit(found.getNumFolds())).withColumn("train_rows", F.lit(train.count()))
+        .withColumn("folds", F.lit(found.folds)) \
+        .withColumn("train_rows", t.labelled(spark, d).filter("split = 'train'").agg(F.count("*")).scalar())
 
 
 def _grid(which):
     def query(spark, d):
         """The whole grid in three folds."""
         train = written(t.labelled(spark, d).filter("split = 'train'"), "train")
-        return _searched(spark, search.grid_search(train, which, seeds=SEEDS), train)
+        return _searched(spark, d, search.grid_search(train, which, registry(spark, d), seeds=SEEDS, parallelism=TOGETHER))
 
     return query
 
@@ -561,12 +634,15 @@ def residuals(spark, d):
 
 
 def _importance(estimator, name):
+    task = "regression" if "regressor" in name else "classification"
+
     def query(spark, d):
         """Importances of the boosted rung at full settings: of known features, none negative, one in all."""
         enc = encoded(spark, d)
         names = encode.feature_names(enc.preprocessing)
         kept = [n for n, _, keep in names if keep]
-        table = ladder.feature_importance(spark, estimator().fit(enc.side("train")), names, top=len(kept))
+        fitted, _ = ladder.rung("boosted", estimator(), enc, task, registry(spark, d))
+        table = ladder.feature_importance(spark, fitted, names, top=len(kept))
         known = encode.feature_inventory(spark, enc.preprocessing).select("feature", "kept")
         return table.join(known, "feature", "left").agg(
             F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
@@ -576,6 +652,16 @@ def _importance(estimator, name):
     return query
 
 
+def _top_features(estimator, task):
+    def query(spark, d):
+        """The 20 most important features of the boosted rung, by name."""
+        enc = encoded(spark, d)
+        fitted, _ = ladder.rung("boosted", estimator(), enc, task, registry(spark, d))
+        return rounded(ladder.feature_importance(spark, fitted, encode.feature_names(enc.preprocessing)), "importance")
+
+    return query
+
+
 def best_model(spark, d):
     return metrics.best_model(_boards(spark, d), "f1_macro").unionByName(
         metrics.best_model(_reg_boards(spark, d), "r2").withColumnRenamed("r2", "f1_macro")).withColumnRenamed(
@@ -599,7 +685,7 @@ def overfit_gap(spark, d):
 
 
 def score_listings(spark, d):
-    return scoring.score_listings(_allowed(spark, d), valuer(spark, d), SCOPE, _sample(spark, d))
+    return scoring.score_listings(_allowed(spark, d), valuer(spark, d), SCOPE)
 
 
 def score_checks(spark, d):
@@ -614,14 +700,15 @@ def score_checks(spark, d):
 
 
 def _streamed(spark, d):
-    """All requests through the stream: scored ones, rejected ones, and the model and sample they met."""
-    asked, fitted, sample = written(t.requests(spark, d), "requests"), valuer(spark, d), _sample(spark, d)
+    """All requests through the stream with a saved model: scored ones, rejected ones, and the scores of a batch."""
+    asked = written(t.requests(spark, d), "requests")
+    fitted = scoring.model_load(spark, scoring.model_save(valuer(spark, d), spark, scratch(spark, "models")))
     arriving, out, rejects, log = (scratch(spark, n) for n in ("arriving", "streamed", "rejected", "stream-log"))
     asked.repartition(4).write.parquet(arriving)
     stream = read_requests(spark, arriving, asked.schema, files_per_trigger=2)
-    for query in score_stream(stream, fitted, SCOPE, sample, out, rejects, log, {"availableNow": True}):
+    for query in score_stream(stream, fitted, SCOPE, out, rejects, log, {"availableNow": True}):
         query.awaitTermination()
-    batch = scoring.score_listings(features.split_requests(asked, SCOPE)[0], fitted, SCOPE, sample)
+    batch = scoring.score_listings(features.split_requests(asked, SCOPE)[0], fitted, SCOPE)
     wrong = features.split_requests(asked, SCOPE)[1]
     return spark.read.schema(batch.schema).parquet(out), spark.read.schema(wrong.schema).parquet(rejects), batch
 
@@ -648,7 +735,7 @@ def queries() -> dict:
         category_counts, category_share, year_counts, log_price, skewness, group_median, correlation_matrix,
         quantiles, train_threshold, class_balance, feature_summary, leakage_checks, train_test_split,
         stratified_split, sample_rows, fold_assign, min_frequency_bucket, onehot_ignore, standard_scale, preprocess,
-        variance_threshold, feature_inventory, dummy_classifier, dummy_regressor, random_search, logistic_ladder, ridge_ladder,
+        variance_threshold, feature_inventory, dummy_classifier, dummy_regressor, leaderboards, logistic_ladder, ridge_ladder,
         classification_metrics, roc_auc, roc_curve, confusion_matrix, regression_metrics, residuals,
         leaderboard, best_model, beats_baseline, overfit_gap, score_listings, score_checks, top_k,
     )}
@@ -678,6 +765,10 @@ def queries() -> dict:
         "boosted_regressor": _boosted(ladder.boosted_regressor, TARGET, "boosted regressor"),
         "feature_importance": _importance(ladder.boosted_classifier, "boosted classifier"),
         "feature_importance_regressor": _importance(ladder.boosted_regressor, "boosted regressor"),
+        "top_features": _top_features(ladder.boosted_classifier, "classification"),
+        "top_features_regressor": _top_features(ladder.boosted_regressor, "regression"),
+        "random_search": _random_search(True),
+        "random_search_regressor": _random_search(False),
         "grid_search": _grid("ridge"),
         "grid_search_logistic": _grid("logistic"),
         "grid_search_tree_classifier": _grid("tree_classifier"),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.config import SEGMENT, TARGET, Scope, Seeds
-from forecourt.operators.cleaning import clean_listings, default_rules
+from forecourt.operators.cleaning import bound, clean_listings, default_rules
 from forecourt.operators.features import feature_select_columns, train_threshold, with_price_segment
 from forecourt.operators.splitting import train_test_split
 
@@ -82,9 +82,10 @@ def _numbers() -> dict[str, Column]:
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listings with numbers already read: what does not count as a number is NULL."""
-    return joined(spark, sf_dir).select(
+    rows = joined(spark, sf_dir).select(
         listing_id().alias("listing_id"), *[c.alias(n) for n, c in {**_common(), **_numbers()}.items()],
         F.col("l_linestatus").alias("color"), F.col("p_name").alias("offer_description"))
+    return bound(rows, [n for n in rows.columns if n not in ("brand", "color", "offer_description")])
 
 
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:

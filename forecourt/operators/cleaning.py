@@ -100,6 +100,20 @@ def first_broken(rules: list[Rule]) -> Column:
     return F.expr("CASE " + " ".join(f"WHEN {r.removes} THEN {i}" for i, r in enumerate(rules, start=1)) + " END")
 
 
+def bound(df: DataFrame, columns) -> DataFrame:
+    """The table with some columns worked out once per row, for what follows to see as values.
+
+    The optimiser copies the expression of a computed column into every rule, filter and join condition that names the
+    column. Twelve rules over a few such columns make one generated method that is too large for the JVM to compile,
+    and each row is interpreted. A generator of one row stops the copies. Columns that a scan reads as they are should
+    not be bound: filters on them would no longer reach the files.
+    """
+    if not columns:
+        return df
+    rest = [c for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in columns])))).select(df.columns)
+
+
 def remove(df: DataFrame, *rules: Rule) -> DataFrame:
     """Rows that break none of the rules; a condition that is unknown removes nothing."""
     return df.filter(" AND ".join(f"({r.filter()})" for r in rules))

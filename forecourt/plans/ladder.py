@@ -10,7 +10,7 @@ import time
 from dataclasses import dataclass
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, LogisticRegressionModel,
 )
@@ -23,9 +23,13 @@ from pyspark.sql import functions as F
 
 from forecourt.config import SEGMENT, TARGET, Seeds
 from forecourt.operators.metrics import classification_metrics, regression_metrics, roc_auc
-from forecourt.plans.encode import preprocess, preprocessing
+from forecourt.plans.encode import preprocess
+from forecourt.plans.registry import Registry, settings_of
 from forecourt.sources.storage import scratch, written
 
+#: Rows that one task of a fit takes: every level of every tree costs a task for each partition.
+ROWS_PER_TASK = 25_000
+
 
 class RidgeLogistic(Estimator, HasFeaturesCol, HasLabelCol, HasMaxIter):
     """Logistic regression with the penalty stated as C, the inverse strength over the summed loss.
@@ -211,32 +215,64 @@ class Ladder:
     regressors: dict
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows in no more partitions than they need, before a fit that passes over them again and again."""
+    return rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
+
+
 def timed_fit(estimator: Estimator, rows: DataFrame):
     start = time.monotonic()
-    model = estimator.fit(rows)
+    model = estimator.fit(dealt(rows))
     return model, time.monotonic() - start
 
 
-def _climb(encoded: Encoded, label: str, dummy, rungs: dict[str, Estimator], to_row):
+LADDER = "ladder"
+
+
+def rung(name: str, estimator: Estimator, encoded: Encoded, task: str, registry: Registry | None = None):
+    """A fitted rung with its time. A rung that the registry has with these settings is loaded instead."""
+    if registry is None:
+        return timed_fit(estimator, encoded.side("train"))
+
+    def make():
+        model, seconds = timed_fit(estimator, encoded.side("train"))
+        path = scratch(registry.spark, f"rung-{name}")
+        PipelineModel([model]).write().save(path)
+        return {}, seconds, path
+
+    held = registry.once(f"{LADDER}-fit", task, name, settings_of(estimator), make)
+    return PipelineModel.load(held.path).stages[0], held.seconds
+
+
+def _climb(encoded: Encoded, label: str, dummy, rungs: dict[str, Estimator], to_row, registry: Registry | None = None):
     train = encoded.side("train")
+    task = "classification" if label == SEGMENT else "regression"
     # The dummy rung is part of the scored plan; it has no separate fit.
     base = dummy(train, encoded.rows, label).withColumn("label", F.col(label).cast("double"))
     board, models = to_row(0, "dummy", base, 0.0), {}
     for position, (name, estimator) in enumerate(rungs.items(), start=1):
-        model, seconds = timed_fit(estimator, train)
+        model, seconds = rung(name, estimator, encoded, task, registry)
         models[name] = model
         # A deep plan per model would be run again by every metric; the scores are kept instead.
         scored = written(scored_rows(model, encoded.rows, label), f"scored-{name}")
         board = board.unionByName(to_row(position, name, scored, seconds))
-    return written(board.coalesce(1), "leaderboard"), models
+    board = written(board.coalesce(1), "leaderboard")
+    if registry:
+        for r in board.collect():
+            settings = settings_of(rungs[r.model]) if r.model in rungs else {"strategy": "most_frequent" if label == SEGMENT else "mean"}
+            metrics = {c: r[c] for c in board.columns if c not in ("model", "fit_seconds")}
+            registry.add(LADDER, task, r.model, settings, metrics, r.fit_seconds)
+    return board, models
 
 
-def classification_ladder(encoded: Encoded, rungs=None):
-    return _climb(encoded, SEGMENT, dummy_classifier, rungs or classifiers(), classifier_row)
+def classification_ladder(encoded: Encoded, rungs=None, registry: Registry | None = None):
+    """The leaderboard and the models. With a registry the metrics of every rung are added to it, and fits that it has
+    are loaded."""
+    return _climb(encoded, SEGMENT, dummy_classifier, rungs or classifiers(), classifier_row, registry)
 
 
-def regression_ladder(encoded: Encoded, rungs=None):
-    return _climb(encoded, TARGET, dummy_regressor, rungs or regressors(), regressor_row)
+def regression_ladder(encoded: Encoded, rungs=None, registry: Registry | None = None):
+    return _climb(encoded, TARGET, dummy_regressor, rungs or regressors(), regressor_row, registry)
 
 
 def train_ladder(labelled: DataFrame, boosting: Boosting = Boosting(), seeds: Seeds = Seeds()) -> tuple[Encoded, Ladder]:
@@ -259,11 +295,6 @@ def complete(encoded: Encoded, model) -> PipelineModel:
     return PipelineModel([*encoded.preprocessing.stages, model])
 
 
-def full_pipeline(estimator: Estimator, seeds: Seeds = Seeds()) -> Pipeline:
-    """Unfitted preprocessing and model; fitting it in a fold only sees that fold's training rows."""
-    return Pipeline(stages=[*preprocessing(seeds), estimator])
-
-
 def feature_importance(spark, model, names: list[tuple[str, str, bool]], top: int = 20) -> DataFrame:
     """The most important encoded features of a tree model, by name."""
     kept = [name for name, _, keep in names if keep]
