@@ -355,6 +355,10 @@ SCALED = _union(
 
 SIDES = "count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows"
 
+KEYED = """SELECT joined.*, md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  CAST(round(l_quantity * 100) AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT))) AS listing_id FROM joined"""
+LONG_RECORD = "l_orderkey % 11 = 0"
+
 JUNK = "CASE WHEN l_linenumber < 3 THEN 'abc' END"
 
 
@@ -365,6 +369,14 @@ def oracle_sql() -> dict[str, str]:
     raw_columns = ("listing_id", "brand", "model", "transmission_type", "fuel_type", "year", "price_in_euro",
                    "power_ps", "mileage_in_km", "color", "offer_description")
     tails = {
+        "scan_by_name": f"""
+SELECT listing_id, p_brand AS brand, p_name AS model, CASE WHEN l_orderkey % 2 = 1 AND l_orderkey % 13 = 0 THEN NULL ELSE p_type END AS fuel_type,
+  CASE WHEN l_orderkey % 2 = 1 THEN l_returnflag || chr(10) || ', second line' WHEN l_orderkey % 13 = 0 THEN NULL
+    ELSE l_returnflag END AS offer_description
+FROM ({KEYED}) WHERE NOT {LONG_RECORD}""",
+        "scan_quarantine": f"""
+SELECT CASE WHEN {LONG_RECORD} THEN 'too many fields' ELSE 'kept' END AS reason, count(*) AS records, CAST(sum(count(*)) OVER () AS BIGINT) AS read
+FROM ({KEYED}) GROUP BY 1""",
         "scan_listings": f"""
 SELECT r.* EXCLUDE (year, price_in_euro, power_ps, mileage_in_km),
   coalesce(CAST(CAST(r.year AS DOUBLE) AS VARCHAR), j.junk) AS year,

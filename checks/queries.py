@@ -42,6 +42,37 @@ def scan_listings(spark, d):
     return readers.scan_listings(spark, path, columns).withColumnRenamed("Unnamed: 0", "row_label")
 
 
+def _broken_files(spark, d) -> str:
+    """The raw listings in two files: one with its columns in another order and one more, one with line breaks inside quotes.
+    Records of every eleventh order have two fields too many, those of every thirteenth none for the last column."""
+    path = scratch(spark, "broken-csv")
+    rows = t.joined(spark, d).select("l_orderkey", t.listing_id().alias("listing_id"), *[F.col(c).alias(n) for n, c in (
+        ("brand", "p_brand"), ("model", "p_name"), ("fuel_type", "p_type"), ("offer_description", "l_returnflag"))], F.lit("?").alias("unused"))
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+    of_order = lambda n, text: F.when(F.col("l_orderkey") % n == 0, text).otherwise(F.lit(""))
+    for name, columns, odd in (("reordered", ("fuel_type", "model", "listing_id", "unused", "brand", "offer_description"), 0),
+                               ("second-lines", ("listing_id", "offer_description", "model", "brand", "fuel_type"), 1)):
+        some = rows.where(F.col("l_orderkey") % 2 == odd)
+        if odd:
+            some = some.withColumn("offer_description", F.concat("offer_description", F.lit("\n, second line")))
+        last = F.when(F.col("l_orderkey") % 13 != 0, F.concat(F.lit(","), quoted(columns[-1]))).otherwise(F.lit(""))
+        lines = some.select(F.concat(F.concat_ws(",", *map(quoted, columns[:-1])), last, of_order(11, F.lit(",too,many"))).alias("value"))
+        header = spark.createDataFrame([(",".join(columns),)], "value string")
+        header.union(lines).coalesce(1).write.text(f"{path}/{name}")  # one file: its header comes first
+    return f"{path}/*"
+
+
+LISTED = ("listing_id", "brand", "model", "fuel_type", "offer_description")
+
+
+def scan_by_name(spark, d):
+    return readers.scan_records(spark, _broken_files(spark, d), LISTED).kept
+
+
+def scan_quarantine(spark, d):
+    return readers.scan_audit(readers.scan_records(spark, _broken_files(spark, d), LISTED))
+
+
 def coerce_numeric(spark, d):
     return readers.coerce_numeric(t.raw_text(spark, d)).select("listing_id", *readers.NUMBERS)
 
@@ -726,9 +757,14 @@ def stream_rejects(spark, d):
     return _streamed(spark, d)[1].select("request_id", "rejected_for")
 
 
+#: Queries whose fits take long: a driver that runs all of them leaves these to the end.
+LONG = ("boosted_classifier", "boosted_regressor", "feature_importance", "feature_importance_regressor", "top_features",
+        "top_features_regressor", "leaderboards", "random_search", "random_search_regressor", "model_report")
+
+
 def queries() -> dict:
     plain = {f.__name__: f for f in (
-        scan_listings, coerce_numeric, write_verified, write_splits, cleaning_report, split_report, model_report,
+        scan_listings, scan_by_name, scan_quarantine, coerce_numeric, write_verified, write_splits, cleaning_report, split_report, model_report,
         leaderboard_sink, model_save, model_load, listing_sample, drop_columns, clean_step, cleaning_audit, car_age,
         mileage_per_year, feature_select_columns, price_segment, scope_flag, input_bounds, year_midpoint,
         build_input_row, null_profile, duplicate_count, numeric_summary, value_range, distinct_counts,

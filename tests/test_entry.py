@@ -10,7 +10,8 @@ from checks.compare import difference, duck
 
 SMALL = "/root/testdata/sf0.001"
 QUICK = ("cleaning_audit", "clean_listings", "numeric_summary", "group_median", "train_threshold", "input_bounds",
-         "impute_power", "roc_curve", "fold_assign", "similar_listings")
+         "impute_power", "roc_curve", "fold_assign", "similar_listings",
+         "scan_by_name", "scan_quarantine")
 
 
 def test_every_oracle_has_a_query():
