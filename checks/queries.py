@@ -564,7 +564,7 @@ def _tree(estimator, label, name):
 
 
 def _boosted(estimator, label, name):
-    task, metric = ("regression", "squared") if label == TARGET else ("classification", "logistic")
+    task = "regression" if label == TARGET else "classification"
 
     def query(spark, d):
         """271 rounds of depth 7: the loss of the training rows after the last round is that of the rows' own predictions,
@@ -572,7 +572,7 @@ def _boosted(estimator, label, name):
         enc = encoded(spark, d)
         train = enc.side("train")
         fitted, _ = ladder.rung("boosted", estimator(), enc, task, registry(spark, d))
-        losses = fitted.evaluateEachIteration(train, metric)
+        losses = fitted.evaluateEachIteration(train, "squared") if label == TARGET else fitted.evaluateEachIteration(train)
         rows, y = fitted.transform(train), F.col(label).cast("double")
         # Boosting learns -1 and 1; the margin is what its raw prediction has for 1.
         sign = 2 * y - 1

@@ -38,7 +38,7 @@ class Registry:
 
     def rows(self) -> DataFrame:
         """All runs that ended. A run that was cut off left no file that counts."""
-        self.spark.createDataFrame([], SCHEMA).write.mode("overwrite").parquet(f"{self.folder}/none")
+        self.spark.createDataFrame([], SCHEMA).write.mode("ignore").parquet(f"{self.folder}/none")
         return self.spark.read.schema(SCHEMA).option("recursiveFileLookup", True).parquet(self.folder)
 
     def of(self, run: str) -> DataFrame:
