@@ -24,6 +24,8 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 def spelled(text: str | None) -> bytes:
     """Runs of letters in lower case between spaces, after a start of ORDER spaces; empty without letters."""
     found = _LETTERS.findall(text.lower()) if text else []
+    if not all(map(str.isalpha, found)):  # numbers such as a raised two count as word characters, and are no letters
+        found = "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
     return b" " * ORDER + " ".join(found).encode("utf-8", "replace") + b" " if found else b""
 
 

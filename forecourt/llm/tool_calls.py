@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from forecourt.sources.storage import written
 
+_WHOLE = r"^DECIMAL\(\d+,0\)$"
 _KEY = ["conv_id", "call_id"]
 
 
@@ -44,14 +45,19 @@ def linked_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Da
     result before its call. `message` is canonical JSON.
 
     Of repeated call ids or results of a conversation the one with the smallest turn (then smallest text) counts.
-    Rows without conversation or id are left out. Null arguments are no JSON object; null content is null. No rows: no
+    Of repeated rows of a parameter the first by type, then the one not required, counts; a null `required` is false, a
+    row with a null param only says that the tool has a schema, and one with a null name says nothing. Whole numbers
+    of up to 38 digits are integers. Rows without conversation or id are left out. Null arguments are no JSON object; null content is null. No rows: no
     rows. No conversation is gathered: a row is a call, and a long conversation is as many rows.
     """
     one = lambda df, cols: df.where("conv_id is not null and call_id is not null").groupBy(*_KEY).agg(
         F.min(F.struct("turn", *cols)).alias("one")).select(*_KEY, "one.*")
     asked = written(one(calls, ["name", "arguments", "parent_id"]), "calls")
     given = one(results, ["content"]).select(*_KEY, F.col("turn").alias("result_turn"), "content", F.lit(True).alias("answered"))
-    rules = schemas.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("param", F.struct("type", "required")))).alias("rules"))
+    ruled_by = schemas.where("name is not null").groupBy("name", "param").agg(
+        F.min(F.struct("type", F.coalesce("required", F.lit(False)).alias("required"))).alias("rule"))
+    rules = ruled_by.groupBy("name").agg(F.map_from_entries(F.collect_list(
+        F.when(F.col("param").isNotNull(), F.struct("param", "rule")))).alias("rules"))
     parents = asked.select("conv_id", F.col("call_id").alias("parent_id"), F.lit(True).alias("parent_there"))
     both = asked.withColumn("asked", F.lit(True)).join(given, _KEY, "full") \
         .join(_levels(asked), _KEY, "left").join(parents, ["conv_id", "parent_id"], "left").join(rules, "name", "left")
@@ -64,7 +70,7 @@ def linked_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Da
 
     def typed(v: Column, wanted: Column) -> Column:
         found = F.schema_of_variant(v)
-        return F.when(wanted == "string", found == "STRING").when(wanted == "integer", found == "BIGINT") \
+        return F.when(wanted == "string", found == "STRING").when(wanted == "integer", (found == "BIGINT") | found.rlike(_WHOLE)) \
             .when(wanted == "number", found.isin("BIGINT", "DOUBLE", "FLOAT") | found.startswith("DECIMAL")) \
             .when(wanted == "boolean", found == "BOOLEAN").when(wanted == "array", found.startswith("ARRAY")) \
             .when(wanted == "object", found.startswith("OBJECT")).otherwise(F.lit(False))

@@ -8,7 +8,7 @@ from forecourt.llm import lines
 from forecourt.llm.queries import read
 from forecourt.sources.storage import scratch, written
 
-from .conftest import SF
+from .conftest import DOCS, SF, prose
 from .test_copies import alike, fuzzy, groups_of, linked_sets, shingle_set
 from .test_texts import check_packing, hits_of
 
@@ -64,7 +64,7 @@ def test_stages_beside_brute_force(spark):
     third = step("near_dedup", second)
     before, after = after, plain(third)
     ids = sorted(before)
-    groups = groups_of(len(ids), linked_sets([shingle_set(before[k].text, 5) for k in ids]))
+    groups = groups_of(len(ids), linked_sets([shingle_set(before[k].text) for k in ids]))
     assert set(after) == {ids[k] for k, g in enumerate(groups) if g == k}
 
     fourth = step("decontamination", third)
@@ -96,6 +96,15 @@ def test_odd_rows(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() >= len(kept)
 
 
+def test_near_copies_keep_one_row_of_a_repeated_id(spark):
+    text = prose(50, 60)
+    rows = [(1, "b " + text, "en", "s", 1), (1, "a " + prose(51, 60), "fr", "s", 2), (1, "a " + prose(51, 60), "de", "s", 2), (2, prose(52, 60), None, None, 3)]
+    for k in range(2):
+        docs = spark.createDataFrame(rows[::-1] if k else rows, DOCS).repartition(3)
+        kept = corpus_pipeline.near_copies(spark, docs, SF).collect()
+        assert sorted((r.doc_id, r.text[:2], r.lang) for r in kept) == [(1, "a ", "de"), (2, rows[3][1][:2], None)]
+
+
 def test_empty_tables(spark, empty):
     path = scratch(spark, "none")
     empty.write.parquet(f"{path}/documents.parquet")

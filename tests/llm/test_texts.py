@@ -83,6 +83,15 @@ def test_predictions(spark, odd):
     assert [r.lang_pred for r in language.predicted(asked, model).orderBy("doc_id").collect()] == ["en", "fr", "de"]
 
 
+def test_numbers_that_count_as_word_characters_are_no_letters(spark):
+    for text in ("² ½", "①", "ⅷ", "12 _ ٣", "\u0301"):
+        assert language.spelled(text) == b""
+    assert language.spelled("a²b Éc½") == language.spelled("a b éc") and language.spelled("ab²").strip() == b"ab"
+    model = language.trained(spark.createDataFrame(rows_of([TONGUES["en"], TONGUES["fr"]]), DOCS).withColumn("lang", F.coalesce("lang", F.lit("fr"))))
+    found = by_id(language.predicted(spark.createDataFrame(rows_of(["² ½", "①", "the thing"]), DOCS), model, into=("kind", "key")))
+    assert [found[k].kind == language.UNKNOWN for k in range(3)] == [True, True, False]
+
+
 def test_no_languages(spark, odd, empty):
     model = language.trained(empty)
     assert {r.lang_pred for r in language.predicted(odd, model).collect()} == {language.UNKNOWN}
@@ -486,3 +495,15 @@ def test_no_calls(spark):
     assert tool_calls.linked_calls(calls.limit(0), results.limit(0), schemas.limit(0)).count() == 0
     assert tool_calls.linked_calls(calls.limit(0), results, schemas).count() == 4
 
+
+
+def test_repeated_and_null_rows_of_schemas(spark):
+    calls = spark.createDataFrame([("c", f"k{i}", None, i, n, a) for i, (n, a) in enumerate([
+        ("f", '{"x": 1}'), ("f", '{"x": 123456789012345678901234567890}'), ("f", '{"x": 1.5}'), ("g", "{}"), ("g", '{"y": 1}'), (None, "{}"), ("h", "{}")])],
+        "conv_id string, call_id string, parent_id string, turn int, name string, arguments string")
+    results = spark.createDataFrame([], "conv_id string, call_id string, turn int, content string")
+    schemas = spark.createDataFrame([("f", "x", "integer", True), ("f", "x", "integer", True), ("f", "x", "string", None), ("f", None, "string", True),
+                                     ("g", None, None, None), (None, "x", "string", True), ("h", "z", "string", None)],
+                                    "name string, param string, type string, required boolean")
+    found = {r.call_id: r.errors for r in tool_calls.linked_calls(calls, results, schemas).collect()}
+    assert found == {"k0": "", "k1": "", "k2": "type:x", "k3": "", "k4": "unknown:y", "k5": "tool", "k6": ""}
