@@ -38,18 +38,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies, word runs being five words long.
+    """The document with the smallest doc_id of each group of near copies, by the operator's own sets of word pairs.
 
-    Rows that repeat a doc_id are one document: one of them stays.
+    Rows that repeat a doc_id are one document: the one with the smallest text stays, of equal texts the first by its
+    other columns.
     """
     importable(spark)
-    found = written(near_dedup.near_copies(docs, near_dedup.Sketch(shingle=5)).select("doc_id", "kept"), "kept")
+    found = written(near_dedup.near_copies(docs).select("doc_id", "kept"), "kept")
     left = docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
     again = written(found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "again")
     if again.isEmpty():
         return left
-    return left.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(
-        left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.struct("text", F.to_json(row))).alias("first"))
+    return left.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(first.select("first.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
