@@ -369,6 +369,43 @@ def oracle_sql() -> dict[str, str]:
     raw_columns = ("listing_id", "brand", "model", "transmission_type", "fuel_type", "year", "price_in_euro",
                    "power_ps", "mileage_in_km", "color", "offer_description")
     tails = {
+        "arriving_profile": _union(
+            [f"SELECT '{c}' AS column_name, 4::BIGINT AS loads, count(*) AS rows, count(*) - count({c}) AS missing, count({c}) AS n, "
+             f"round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, min({c}) AS min, max({c}) AS max, "
+             "true AS quantiles_within, true AS different_within FROM raw" for c in ("price_in_euro", "year", "power_ps", "mileage_in_km")]
+            + [f"SELECT '{c}', 4::BIGINT, count(*), count(*) - count({c}), count({c}), NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, true, true "
+               "FROM raw" for c in ("brand", "model", "fuel_type", "transmission_type")]),
+        "imputation": """
+, sided AS (
+  SELECT *, CASE WHEN substr(md5('split|42|' || listing_id), 1, 8) < '33333333' THEN 'test' ELSE 'train' END AS split FROM raw
+), fitted AS (
+  SELECT * FROM sided WHERE split = 'train'
+), fill AS (
+  SELECT median(year) AS year, median(power_ps) AS power_ps, median(mileage_in_km) AS mileage_in_km,
+    (SELECT fuel_type FROM fitted WHERE fuel_type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS fuel_type,
+    (SELECT transmission_type FROM fitted WHERE transmission_type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS transmission_type
+  FROM fitted
+)
+SELECT s.listing_id, s.split, """ + ", ".join(f"coalesce(s.{c}, f.{c}) AS {c}" for c in (
+            "year", "power_ps", "mileage_in_km", "fuel_type", "transmission_type")) + " FROM sided s, fill f",
+        "f_scores": """
+, known AS (
+  SELECT brand, fuel_type, coalesce(transmission_type, 'nan') AS transmission_type, price_in_euro AS y_regression,
+    price_segment::DOUBLE AS y_classification FROM train
+), dummies AS (
+  SELECT source || '_' || level AS feature, count(*)::DOUBLE AS x, sum(y_regression) AS xy_regression, sum(y_classification) AS xy_classification
+  FROM (UNPIVOT known ON brand, fuel_type, transmission_type INTO NAME source VALUE level) GROUP BY ALL
+), totals AS (
+  SELECT count(*)::DOUBLE AS n, avg(y_regression) AS m_regression, avg(y_classification) AS m_classification,
+    var_pop(y_regression) AS v_regression, var_pop(y_classification) AS v_classification FROM known
+), shares AS (
+""" + " UNION ALL ".join(
+            f"SELECT '{task}' AS task, feature, pow(xy_{task} / n - x / n * m_{task}, 2) / ((x / n - x / n * x / n) * v_{task}) AS r, n FROM dummies, totals"
+            for task in ("regression", "classification")) + " UNION ALL " + " UNION ALL ".join(
+            f"SELECT '{task}', '{c}', pow(corr({c}, {y}), 2), count(*) FROM train" for task, y in (("regression", "price_in_euro"), ("classification", "price_segment"))
+            for c in NUMERIC) + """
+)
+SELECT task, feature, round(r / (1 - r) * (n - 2), 2) AS score, true AS chosen_by_score FROM shares""",
         "scan_by_name": f"""
 SELECT listing_id, p_brand AS brand, p_name AS model, CASE WHEN l_orderkey % 2 = 1 AND l_orderkey % 13 = 0 THEN NULL ELSE p_type END AS fuel_type,
   CASE WHEN l_orderkey % 2 = 1 THEN l_returnflag || chr(10) || ', second line' WHEN l_orderkey % 13 = 0 THEN NULL

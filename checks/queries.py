@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from checks import tables as t
 from forecourt.config import CATEGORICAL, FEATURES, MEASURES, NUMERIC, SEGMENT, TARGET
 from forecourt.functions.columns import title_label
-from forecourt.operators import cleaning, features, metrics, profiling, splitting
+from forecourt.operators import arriving, cleaning, features, metrics, profiling, splitting
 from forecourt.operators.compare import compare_pairs
 from forecourt.operators.explain import explain_listing
 from forecourt.operators.lookups import brand_context, brand_model_options, fuel_options, impute_power, power_medians
 from forecourt.operators.similar import display_labels, similar_listings
 from forecourt.plans import encode, ladder, reports, scoring, search
+from forecourt.plans.impute import MissingValues
 from forecourt.plans.registry import Registry
+from forecourt.plans.select import BestScores, feature_scores
 from forecourt.sources import readers, sinks
 from forecourt.sources.storage import scratch, written
 from forecourt.streaming.score_stream import read_requests, score_stream
@@ -351,6 +353,54 @@ def numeric_summary(spark, d):
     return rounded(profiling.numeric_summary(t.clean(spark, d)), "mean", "std", "q25", "q50", "q75")
 
 
+def arriving_profile(spark, d):
+    """The raw listings as four loads, each profiled once; sketches beside the rows that they stand for."""
+    rows, path = written(t.raw(spark, d), "raw"), scratch(spark, "loads")
+    columns = [*MEASURES, *CATEGORICAL]
+    for k in range(4):
+        arriving.add_load(rows.where(F.conv(F.substring("listing_id", 1, 1), 16, 10) % 4 == k), f"load{k}", path, columns)
+    merged = written(arriving.merged_profile(arriving.loads(spark, path)), "profile")
+    # The share of values below a quantile, and of values up to it, enclose the share that was asked for.
+    within = profiling.long_form(rows, MEASURES).where("value IS NOT NULL").join(merged.select("column_name", "quantiles"), "column_name") \
+        .groupBy("column_name").agg(F.array(*[
+            (F.avg((F.col("value") < F.col("quantiles")[i]).cast("int")) - arriving.RANK_ERROR <= share)
+            & (F.avg((F.col("value") <= F.col("quantiles")[i]).cast("int")) + arriving.RANK_ERROR >= share)
+            for i, share in enumerate((0.25, 0.5, 0.75))]).alias("within"))
+    exact = rows.agg(F.array(*[F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact")) for c in columns]).alias("e")).select(F.inline("e"))
+    return rounded(merged.join(within, "column_name", "left").join(exact, "column_name").select(
+        "column_name", "loads", "rows", "missing", "n", "mean", "std", "min", "max",
+        F.coalesce(F.forall("within", lambda w: w), F.lit(True)).alias("quantiles_within"),
+        (F.abs(F.col("different") - F.col("exact")) <= arriving.DISTINCT_ERROR * F.col("exact")).alias("different_within")), "mean", "std")
+
+
+FILLED = ("year", "power_ps", "mileage_in_km")
+
+
+def imputation(spark, d):
+    """Missing values of the raw listings filled with what the training rows have."""
+    rows = splitting.train_test_split(written(t.raw(spark, d), "raw"), "listing_id", SEEDS)
+    stage = MissingValues(inputCols=list(FILLED), textCols=["fuel_type", "transmission_type"])
+    filled = stage.fit(rows.where("split = 'train'")).transform(rows)
+    return filled.select("listing_id", "split", *FILLED, "fuel_type", "transmission_type")
+
+
+def f_scores(spark, d):
+    """F scores of the encoded features against price and segment, and which of all are among the best twenty."""
+    enc = encoded(spark, d)
+    train = enc.side("train")
+    kept = [(n, source) for n, source, k in encode.feature_names(enc.preprocessing) if k]
+    names = spark.createDataFrame([(i, n, source) for i, (n, source) in enumerate(kept)], "position int, feature string, source string")
+    parts = []
+    for task, label in (("regression", TARGET), ("classification", SEGMENT)):
+        scores = written(feature_scores(train, label), "scores")
+        best = BestScores(k=20, labelCol=label).fit(train).getIndices()
+        lowest = scores.where(F.col("position").isin(best)).agg(F.min("score")).scalar()
+        parts.append(scores.join(names, "position").select(
+            F.lit(task).alias("task"), "feature", "source", F.round("score", 2).alias("score"),
+            (F.col("position").isin(best) == (F.col("score") >= lowest)).alias("chosen_by_score")))
+    return parts[0].unionByName(parts[1]).where(F.col("source") != "model").drop("source")
+
+
 def value_range(spark, d):
     return profiling.value_range(t.raw(spark, d))
 
@@ -767,7 +817,7 @@ def queries() -> dict:
         scan_listings, scan_by_name, scan_quarantine, coerce_numeric, write_verified, write_splits, cleaning_report, split_report, model_report,
         leaderboard_sink, model_save, model_load, listing_sample, drop_columns, clean_step, cleaning_audit, car_age,
         mileage_per_year, feature_select_columns, price_segment, scope_flag, input_bounds, year_midpoint,
-        build_input_row, null_profile, duplicate_count, numeric_summary, value_range, distinct_counts,
+        build_input_row, null_profile, duplicate_count, numeric_summary, arriving_profile, imputation, f_scores, value_range, distinct_counts,
         category_counts, category_share, year_counts, log_price, skewness, group_median, correlation_matrix,
         quantiles, train_threshold, class_balance, feature_summary, leakage_checks, train_test_split,
         stratified_split, sample_rows, fold_assign, min_frequency_bucket, onehot_ignore, standard_scale, preprocess,
