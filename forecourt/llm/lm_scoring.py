@@ -1,239 +1,180 @@
-"""Cross-entropy difference of documents under a target and a background n-gram model with one vocabulary."""
+"""Cross-entropy difference of documents under a target and a background n-gram model with one vocabulary.
+
+Texts are taken in blocks. A block asks for the counts of its distinct words, and then of its distinct word pairs: the
+question carries the block's own counts, so that the same shuffle counts and answers. No model is held anywhere: the
+tables of counts are parted by hash, and a block gets back what its own texts need.
+"""
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.decontamination import words
 from forecourt.llm.tables import FEW_IDS, slices
 from forecourt.sources.storage import written
 
-#: A word belongs to the vocabulary if it occurs LEAST times, or if at least one of WORDS words of all texts is that word.
+#: A word belongs to the vocabulary if it occurs so often in all texts.
 LEAST = 3
-WORDS = 1 << 17
-#: Up to so many words and bigrams go to every executor; more are joined by shuffle.
-MOST_WORDS = 1 << 17
-MOST_PAIRS = 1 << 20
-#: What stands before the first word of a text.
-START = 0
 #: Weight of a bigram's share beside the word's own probability.
 LAMBDA = 0.7
+#: Tokens of a block, or one text, and keys that are counted together in a task.
+BLOCK, KEYS = 1 << 18, 1 << 20
+#: In the place of the hash of a word that is not in the vocabulary.
+UNKNOWN = np.int64(0)
+
+_BLOCKS = "doc_ids array<bigint>, sizes binary, targets binary, words binary, places binary, n_words bigint, n bigint, n_target bigint, n_texts bigint, t_texts bigint"
+_ASKED = "block bigint, part bigint, keys binary, counts binary"
+_ANSWERED = "block bigint, part bigint, counts binary, known bigint, sums array<bigint>"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as hashed words: distinct ones, and for each token the place of its word among them."""
+    held: list[tuple[int | None, np.ndarray, bool]] = []
+
+    def packed() -> pa.RecordBatch:
+        sizes = np.array([len(h) for _, h, _ in held], np.int64)
+        targets = np.array([t for *_, t in held], np.uint8)
+        found, places = np.unique(np.concatenate([h for _, h, _ in held]), return_inverse=True)
+        small = np.uint16 if len(found) <= 1 << 16 else np.uint32
+        some, mine = sizes > 0, targets > 0
+        numbers = [len(found), sizes.sum(), sizes[mine].sum(), some.sum(), (some & mine).sum()]
+        columns = [[[i for i, *_ in held]], *[[x.tobytes()] for x in (sizes, targets, found, places.astype(small))], *[[int(x)] for x in numbers]]
+        kinds = [pa.list_(pa.int64()), *[pa.binary()] * 4, *[pa.int64()] * 5]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                          names=[c.split()[0] for c in _BLOCKS.split(", ")])
 
-
-def _hashes(found: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-
-
-def _counts(batches: Iterator[pa.RecordBatch], keys) -> Iterator[pa.RecordBatch]:
-    """(gram, n, n_target), counted together for many texts of a task before they leave it."""
-    held: dict[bool, list[np.ndarray]] = {True: [], False: []}
     size = 0
-
-    def merged() -> pa.RecordBatch:
-        found = {side: np.unique(np.concatenate(some), return_counts=True) if some else (np.empty(0, np.int64), np.empty(0, np.int64))
-                 for side, some in held.items()}
-        gram = np.concatenate([found[False][0], found[True][0]])
-        n = np.concatenate([found[False][1], found[True][1]])
-        target = np.concatenate([np.zeros(len(found[False][0]), np.int64), found[True][1]])
-        return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n), pa.array(target)], names=["gram", "n", "n_target"])
-
-    for batch in slices(batches, "text", 16 << 20):
-        for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            gram = keys(words(text))
-            held[bool(target)].append(gram)
-            size += len(gram)
-            if size > 4_000_000:
-                yield merged()
-                held[True].clear()
-                held[False].clear()
-                size = 0
-    yield merged()
-
-
-def _single(found: list[bytes]) -> np.ndarray:
-    return _hashes(found).view(np.int64)
-
-
-class Vocabulary:
-    """Numbers of known words; all others are one unknown word, the last number."""
-
-    def __init__(self, gram: np.ndarray, n: np.ndarray, target: np.ndarray, total: tuple[int, int]):
-        order = np.argsort(gram)
-        self.gram = gram[order]
-        # The unknown word has what the others leave.
-        self.n = np.append(n[order], total[0] - n.sum())
-        self.target = np.append(target[order], total[1] - target.sum())
-
-    def numbers(self, found: list[bytes]) -> np.ndarray:
-        keys = _single(found)
-        if not len(self.gram) or not len(keys):
-            return np.full(len(keys), len(self.gram), np.int64)
-        at = np.minimum(np.searchsorted(self.gram, keys), len(self.gram) - 1)
-        return np.where(self.gram[at] == keys, at, len(self.gram))
-
-
-def _pairs(found: list[bytes], vocabulary: Broadcast) -> np.ndarray:
-    n = vocabulary.value.numbers(found)
-    return n[:-1] << 20 | n[1:]
-
-
-class Model:
-    """Loss of each token, in bits, under two models of the same words, bigrams and smoothing.
-
-    A word's probability is its share, one count added for each word of the vocabulary. After a word, LAMBDA of each
-    known bigram's share of that word counts, and the rest goes to words by their own probability: both models sum
-    to one over the vocabulary.
-    """
-
-    def __init__(self, vocabulary: Vocabulary, pair: np.ndarray, n: np.ndarray, target: np.ndarray):
-        order = np.argsort(pair)
-        self.vocabulary, self.pair = vocabulary, pair[order]
-        self.sides = []
-        first = self.pair >> 20
-        for single, double in ((vocabulary.target, target[order]), (vocabulary.n, n[order])):
-            alone = (single + 1.0) / (single.sum() + len(single))
-            share = LAMBDA * double / np.maximum(single[first], 1)
-            rest = 1 - np.bincount(first, share, len(single))
-            self.sides.append((-np.log2(alone), share, alone, rest))
-
-    def losses(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Of each token under the target and the background."""
-        number = self.vocabulary.numbers(found)
-        out = [side[0][number] for side in self.sides]
-        if len(number) > 1:
-            keys = number[:-1] << 20 | number[1:]
-            at = np.minimum(np.searchsorted(self.pair, keys), max(len(self.pair) - 1, 0))
-            known = self.pair[at] == keys if len(self.pair) else np.zeros(len(keys), bool)
-            for loss, (_, share, alone, rest) in zip(out, self.sides, strict=True):
-                p = rest[number[:-1]] * alone[number[1:]]
-                if known.any():
-                    p[known] += share[at[known]]
-                loss[1:] = -np.log2(p)
-        return out[0], out[1]
-
-
-def _scored(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
-    known: Model = model.value
     for batch in slices(batches, "text", 8 << 20):
-        out: list[tuple] = []
-        for text in batch.column(1).to_pylist():
-            found = words(text)
-            if not found:
-                out.append((0, None, None, None))
-                continue
-            target, background = known.losses(found)
-            a, b = float(target.mean()), float(background.mean())
-            out.append((len(found), a, b, a - b))
-        columns = zip(*out, strict=True)
-        kinds = (pa.int64(), pa.float64(), pa.float64(), pa.float64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
-                                         names=["doc_id", "n_tokens", "target_bits", "background_bits", "difference"])
-
-
-def _mixed(found: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each word with the one before it: a number of both, and the two."""
-    second = _hashes(found)
-    first = np.append(np.uint64(START), second[:-1])
-    both = (first * np.uint64(0x9E3779B97F4A7C15) ^ (second << np.uint64(31) | second >> np.uint64(33))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return both.view(np.int64), first.view(np.int64), second.view(np.int64)
-
-
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(pair, a, b, n, n_target), counted together for many texts of a task before they leave it."""
-    held: list[tuple[np.ndarray, ...]] = []
-    size = 0
-
-    def merged() -> pa.RecordBatch:
-        pair, a, b, target = (np.concatenate(x) for x in zip(*held, strict=True))
-        pair, at, group = np.unique(pair, return_index=True, return_inverse=True)
-        columns = (pair, a[at], b[at], np.bincount(group, minlength=len(pair)), np.bincount(group[target], minlength=len(pair)))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["pair", "a", "b", "n", "n_target"])
-
-    for batch in slices(batches, "text", 16 << 20):
-        for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = words(text)
-            if found:
-                held.append((*_mixed(found), np.full(len(found), bool(target))))
-                size += len(found)
-            if size > 2_000_000:
-                yield merged()
+        for doc_id, text, target in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words(text)], np.uint64).view(np.int64)
+            if held and (size + len(hashes) > BLOCK or len(held) >= BLOCK >> 4):
+                yield packed()
                 held.clear()
                 size = 0
+            held.append((doc_id, hashes, bool(target)))
+            size += len(hashes)
     if held:
-        yield merged()
-
-
-def _pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(version, pair, k) of each text."""
-    for batch in slices(batches, "text", 1 << 20):
-        out = []
-        for version, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = words(text)
-            if found:
-                pair, k = np.unique(_mixed(found)[0], return_counts=True)
-                out.append((np.full(len(pair), version), pair, k))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)],
-                                             names=["version", "pair", "k"])
-
-
-def _joined(rows: DataFrame, marked: DataFrame, known: DataFrame, total: tuple[int, int]) -> DataFrame:
-    """What `scored` gives, where vocabulary and bigrams are tables: losses of bigrams are found once each and meet the
-    texts' distinct bigrams by shuffle, summed for each text. Copies of a text add to one sum and share its mean."""
-    n, words_n, words_t = (x or 0 for x in known.agg(F.count("*"), F.sum("n"), F.sum("n_target")).first())
-    pairs = written(marked.mapInArrow(_pair_counts, "pair bigint, a bigint, b bigint, n bigint, n_target bigint").groupBy("pair", "a", "b")
-                    .agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), "pairs")
-    later = pairs.where(F.col("a") != START)
-    followed = later.groupBy("a").agg(F.sum("n").alias("f"), F.sum("n_target").alias("f_target"))
-    left = known.join(followed, F.col("gram") == F.col("a"), "left")
-    inside = left.agg(F.sum("f"), F.sum("f_target")).first()
-    every = followed.agg(F.sum("f"), F.sum("f_target")).first()
-    # The unknown word has what the others leave.
-    rare = [total[0] - words_n, total[1] - words_t, *((e or 0) - (i or 0) for e, i in zip(every, inside, strict=True))]
-
-    first = left.select(F.col("gram").alias("a"), F.col("gram").alias("first"), F.col("n").alias("n_a"), F.col("n_target").alias("t_a"),
-                        F.coalesce("f", F.lit(0)).alias("f_a"), F.coalesce("f_target", F.lit(0)).alias("ft_a"))
-    second = known.select(F.col("gram").alias("b"), F.col("gram").alias("second"), F.col("n").alias("n_b"), F.col("n_target").alias("t_b"))
-    filled = {"n_a": rare[0], "t_a": rare[1], "f_a": rare[2], "ft_a": rare[3], "n_b": rare[0], "t_b": rare[1]}
-    each = written(pairs.join(first, "a", "left").join(second, "b", "left").fillna(filled)
-                   .withColumn("start", F.col("a") == START).drop("a", "b"), "known-pairs")
-    # Bigrams with the unknown word count together.
-    some = each.where(~F.col("start") & (F.col("first").isNull() | F.col("second").isNull()))
-    sums = some.groupBy("first", "second").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    both = sums.where("first is null and second is null").agg(F.sum("n"), F.sum("n_target")).first()
-    sides = [each.where(F.col("start") | (F.col("first").isNotNull() & F.col("second").isNotNull())),
-             some.where("first is null and second is null").withColumns({"n": F.lit(both[0] or 0), "n_target": F.lit(both[1] or 0)})]
-    for one, other in (("first", "second"), ("second", "first")):
-        whole = sums.where(F.col(one).isNull() & F.col(other).isNotNull()).drop(one)
-        sides.append(some.where(F.col(one).isNull() & F.col(other).isNotNull()).drop("n", "n_target").join(whole, other))
-    losses = sides[0]
-    for side in sides[1:]:
-        losses = losses.unionByName(side)
-
-    def loss(count: str, one: str, after: str, two: str, of: int) -> Column:
-        alone = (F.col(two) + 1.0) / float(of + n + 1)
-        above = F.greatest(F.col(one), F.lit(1))
-        found = LAMBDA * F.col(count) / above + (1 - LAMBDA * F.col(after) / above) * alone
-        return -F.log2(F.when(F.col("start"), alone).otherwise(found))
-
-    losses = losses.select("pair", "start", loss("n_target", "t_a", "ft_a", "t_b", total[1]).alias("t"), loss("n", "n_a", "f_a", "n_b", total[0]).alias("b"))
-    keyed = rows.withColumn("version", F.xxhash64("text"))
-    k = F.col("k")
-    summed = keyed.select("version", "text").mapInArrow(_pairs_of, "version bigint, pair bigint, k bigint").join(losses, "pair") \
-        .groupBy("version").agg(F.sum(k).alias("k"), F.sum(F.when(F.col("start"), k)).alias("copies"), F.sum(k * F.col("t")).alias("t"), F.sum(k * F.col("b")).alias("b"))
-    target, background = F.col("t") / F.col("k"), F.col("b") / F.col("k")
-    return keyed.select("doc_id", "version").join(summed, "version", "left").select(
-        "doc_id", F.coalesce((F.col("k") / F.col("copies")).cast("bigint"), F.lit(0)).cast("bigint").alias("n_tokens"),
-        target.alias("target_bits"), background.alias("background_bits"), (target - background).alias("difference"))
+        yield packed()
+
+
+class Block:
+    """A block's texts, and the counts that its words and pairs have."""
+
+    def __init__(self, row: dict):
+        self.id, self.doc_ids = row["block"], row["doc_ids"]
+        self.sizes, self.targets = np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["targets"], np.uint8) > 0
+        self.words, n = np.frombuffer(row["words"], np.int64), int(self.sizes.sum())
+        self.places = np.frombuffer(row["places"], np.uint16 if len(row["places"]) == 2 * n else np.uint32).astype(np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.begins = (self.ends - self.sizes)[self.sizes > 0]
+        self.target = np.repeat(self.targets, self.sizes)
+
+    def word_counts(self) -> np.ndarray:
+        """Of each word: n and n of the target, and how often another word follows, in all and in the target."""
+        last = np.zeros(len(self.places), bool)
+        last[self.ends[self.sizes > 0] - 1] = True
+        return np.stack([np.bincount(self.places[chosen], minlength=len(self.words))
+                         for chosen in (slice(None), self.target, ~last, ~last & self.target)])
+
+    def pairs(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct pairs of known or unknown words, where they stand, and how often in all and in the target."""
+        word = np.where(counts[0] >= LEAST, self.words, UNKNOWN).view(np.uint64)[self.places]
+        both = word[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ (word[1:] << np.uint64(31) | word[1:] >> np.uint64(33)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        inside = np.ones(max(len(word) - 1, 0), bool)
+        inside[self.begins[1:] - 1] = False
+        found, at = np.unique(both[inside].view(np.int64), return_inverse=True)
+        counted = np.stack([np.bincount(at, minlength=len(found)), np.bincount(at[self.target[1:][inside]], minlength=len(found))])
+        return found, at, counted
+
+
+def _dealt(keys: np.ndarray, parts: int) -> list[np.ndarray]:
+    """The places of the keys of each part."""
+    part = (keys.view(np.uint64) >> np.uint64(20)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    return np.split(order, np.searchsorted(part[order], np.arange(1, parts)))
+
+
+def _questions(block: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
+    rows = [(block, p, keys[at].tobytes(), counts[:, at].astype(np.uint32).tobytes()) for p, at in enumerate(_dealt(keys, parts)) if len(at)]
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["block", "part", "keys", "counts"])
+
+
+def _answers(table: pa.Table, kinds: int) -> pa.Table:
+    """All blocks' questions of a part: each gets the sums over all blocks, and the first row the sums over known keys."""
+    keys = [np.frombuffer(k, np.int64) for k in table.column("keys").to_pylist()]
+    counts = [np.frombuffer(c, np.uint32).reshape(kinds, -1) for c in table.column("counts").to_pylist()]
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    every = np.concatenate(counts, axis=1)
+    sums = np.stack([np.bincount(at, every[k], len(found)) for k in range(kinds)]).astype(np.int64)
+    known = sums[0] >= LEAST
+    ends = np.cumsum([len(k) for k in keys])
+    answers = [sums[:, at[e - len(k) : e]].astype(np.int64).tobytes() for k, e in zip(keys, ends, strict=True)]
+    first = [[int(known.sum())] + [0] * (len(keys) - 1), [sums[:, known].sum(1).tolist()] + [[0] * kinds] * (len(keys) - 1)]
+    return pa.table([table.column("block"), table.column("part"), pa.array(answers, pa.binary()), pa.array(first[0], pa.int64()),
+                     pa.array(first[1], pa.list_(pa.int64()))], names=["block", "part", "counts", "known", "sums"])
+
+
+def _gathered(keys: np.ndarray, answers: list[dict] | None, parts: int, kinds: int) -> np.ndarray:
+    """The answers of all parts in the order of a block's keys."""
+    out, places = np.zeros((kinds, len(keys)), np.int64), _dealt(keys, parts)
+    for a in answers or []:
+        out[:, places[a["part"]]] = np.frombuffer(a["counts"], np.int64).reshape(kinds, -1)
+    return out
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
+def _ask_words(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    for block in map(Block, _rows(batches)):
+        yield _questions(block.id, block.words, block.word_counts(), parts)
+
+
+def _ask_pairs(batches: Iterator[pa.RecordBatch], word_parts: int, parts: int) -> Iterator[pa.RecordBatch]:
+    for row in _rows(batches):
+        block = Block(row)
+        found, _, counted = block.pairs(_gathered(block.words, row["word_answers"], word_parts, 4))
+        yield _questions(block.id, found, counted, parts)
+
+
+def _scored(batches: Iterator[pa.RecordBatch], word_parts: int, parts: int, total: tuple, known: int, sums: tuple) -> Iterator[pa.RecordBatch]:
+    """Mean losses of a block's texts. A word's probability is its share, one count added for each word of the vocabulary;
+    after a word, LAMBDA of the bigram's share of that word counts, and the rest goes to words by their own
+    probability: both models sum to one over the vocabulary."""
+    for row in _rows(batches):
+        block = Block(row)
+        counts = _gathered(block.words, row["word_answers"], word_parts, 4)
+        found, at, _ = block.pairs(counts)
+        double = _gathered(found, row["pair_answers"], parts, 2)
+        # The unknown word has what the known ones leave.
+        counts = np.where(counts[0] >= LEAST, counts, np.array([[t - s] for t, s in zip(total, sums, strict=True)]))
+        follows = np.ones(len(block.places), bool)
+        follows[block.begins] = False
+        some, means = block.sizes > 0, []
+        for single, after, pair, of in ((counts[1], counts[3], double[1], total[1]), (counts[0], counts[2], double[0], total[0])):
+            alone = ((single + 1.0) / (of + known + 1))[block.places]
+            above = np.maximum(single, 1)
+            first = block.places[:-1][follows[1:]]
+            alone[follows] = LAMBDA * pair[at] / above[first] + (1 - LAMBDA * after[first] / above[first]) * alone[follows]
+            means.append(np.add.reduceat(-np.log2(alone), block.begins) / block.sizes[some] if some.any() else np.empty(0))
+        place, out = np.cumsum(some) - 1, []
+        for k, size in enumerate(block.sizes.tolist()):
+            a, b = (float(m[place[k]]) for m in means) if size else (None, None)
+            out.append((block.doc_ids[k], size, a, b, a - b if size else None))
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)],
+                                         names=["doc_id", "n_tokens", "target_bits", "background_bits", "difference"])
 
 
 def scored(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
@@ -241,37 +182,35 @@ def scored(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     bigram model of the documents in `target_ids` and under one of all documents; the lower the difference, the more a
     document is like the target.
 
-    All words and bigrams of all documents are counted, merged in each task and again by shuffle. Words that occur LEAST
-    times or have a share of 1 / WORDS, and every bigram of them, are the models' one vocabulary; other words are one
-    unknown word. Up to MOST_WORDS words and MOST_PAIRS bigrams are broadcast (3 and 24 MB); more stay tables and are joined.
-    Target documents are scored with the model that has seen them.
+    Words that occur LEAST times in all documents, and every bigram of them, are the models' one vocabulary; other words
+    are one unknown word. Counts are exact at every size, and there is one way to them: blocks of texts ask for their
+    distinct words and pairs, parted by hash, and the answer is the sum of all questions. A task holds a block, or the
+    keys of a part, about KEYS of them; a word that a third of all texts hold is one key for each block. Target documents are
+    scored with the model that has seen them.
 
     Null texts and texts without words: 0 tokens, nulls. Repeated rows count and are scored each; a repeated or null
     target id changes nothing. No target: its model is the same for all words. No rows: no rows.
     """
-    spark = docs.sparkSession
     ids = target_ids.select(F.col(target_ids.columns[0]).cast("bigint").alias("target_id")).where("target_id is not null").distinct()
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ids = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
-    marked = rows.join(ids, F.col("doc_id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("target"))
-
-    def counted(keys) -> DataFrame:
-        return written(marked.mapInArrow(partial(_counts, keys=keys), "gram bigint, n bigint, n_target bigint").groupBy("gram")
-                       .agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), "grams")
-
-    def held(grams: DataFrame) -> list[np.ndarray]:
-        found = grams.toArrow()
-        return [found.column(k).to_numpy().astype(np.int64) for k in range(3)]
-
-    grams = counted(_single)
-    total = tuple(x or 0 for x in grams.agg(F.sum("n"), F.sum("n_target")).first())
-    known = grams.where((F.col("n") >= LEAST) | (F.col("n") * WORDS >= total[0]))
-    if known.count() > MOST_WORDS:
-        return _joined(rows, marked, known, total)
-    vocabulary = Vocabulary(*held(known), total)
-    pairs = counted(partial(_pairs, vocabulary=spark.sparkContext.broadcast(vocabulary)))
-    if pairs.count() > MOST_PAIRS:
-        return _joined(rows, marked, known, total)
-    model = spark.sparkContext.broadcast(Model(vocabulary, *held(pairs)))
-    return rows.mapInArrow(partial(_scored, model=model),
-                           "doc_id bigint, n_tokens bigint, target_bits double, background_bits double, difference double")
+    marked = rows.join(ids, F.col("doc_id") == F.col("target_id"), "left").select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
+    blocks = written(marked.mapInArrow(_blocks, _BLOCKS).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    size = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_words", "n", "n_target", "n_texts", "t_texts")]).first()
+    word_parts, parts = (max(1, -(-k // KEYS)) for k in (size.n_words, size.n))
+
+    def answered(asked: DataFrame, kinds: int) -> DataFrame:
+        return written(asked.groupBy("part").applyInArrow(lambda table: _answers(table, kinds), _ANSWERED), "answers")
+
+    def with_answers(of: DataFrame, answers: DataFrame, name: str) -> DataFrame:
+        each = answers.groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias(name))
+        return of.join(each, "block", "left")
+
+    of_words = answered(blocks.mapInArrow(partial(_ask_words, parts=word_parts), _ASKED), 4)
+    held = of_words.agg(F.coalesce(F.sum("known"), F.lit(0)), *[F.coalesce(F.sum(F.col("sums")[k]), F.lit(0)) for k in range(4)]).first()
+    known = with_answers(blocks, of_words, "word_answers")
+    of_pairs = answered(known.mapInArrow(partial(_ask_pairs, word_parts=word_parts, parts=parts), _ASKED), 2)
+    total = (size.n, size.n_target, size.n - size.n_texts, size.n_target - size.t_texts)
+    return with_answers(known, of_pairs, "pair_answers").mapInArrow(
+        partial(_scored, word_parts=word_parts, parts=parts, total=total, known=held[0], sums=tuple(held[1:])),
+        "doc_id bigint, n_tokens bigint, target_bits double, background_bits double, difference double")

@@ -74,7 +74,7 @@ WITH tok AS (
 ), tot AS (
   SELECT sum(n) AS n, sum(nt) AS nt FROM uni
 ), known AS (
-  SELECT uni.* FROM uni, tot WHERE uni.n * 131072 >= tot.n
+  SELECT uni.* FROM uni WHERE uni.n >= 3
 ), voc AS (
   SELECT w, n, nt FROM known UNION ALL SELECT '', tot.n - (SELECT sum(n) FROM known), tot.nt - (SELECT sum(nt) FROM known) FROM tot
 ), one AS (
@@ -85,7 +85,6 @@ WITH tok AS (
   FROM tok LEFT JOIN known k USING (w)
 ), pairs AS (
   SELECT h, w, count(*) AS n, count(*) FILTER (target) AS nt FROM seq WHERE h IS NOT NULL GROUP BY ALL
-  HAVING count(*) * 1048576 >= (SELECT count(*) FROM seq WHERE h IS NOT NULL)
 ), rest AS (
   SELECT o.w AS h, greatest(o.n, 1) AS n, greatest(o.nt, 1) AS nt, 1 - 0.7::DOUBLE * coalesce(sum(p.n), 0) / greatest(o.n, 1) AS r,
     1 - 0.7::DOUBLE * coalesce(sum(p.nt), 0) / greatest(o.nt, 1) AS rt

@@ -377,49 +377,61 @@ def test_licences_of_odd_rows(odd, empty):
 # Model scores
 
 
-def test_scores_beside_the_definition(spark):
-    texts = [prose(k, 40) for k in range(30)] + [None, "", "unseen words"]
-    docs = spark.createDataFrame(rows_of(texts), DOCS)
-    target = spark.createDataFrame([(k,) for k in (*range(0, 20, 2), None, 4, 999)], "doc_id long")
-    found = by_id(lm_scoring.scored(docs, target))
-    cut = {k: [w.decode() for w in decontamination.words(t)] for k, t in enumerate(texts)}
-    sides = [[k for k in cut if k % 2 == 0 and k < 20], list(cut)]
-    single, double = ([Counter(g for k in side for g in grams(cut[k])) for side in sides]
-                      for grams in (lambda w: w, lambda w: list(zip(w, w[1:]))))
-    words = len(single[1]) + 1
-    for k, w in cut.items():
-        if not w:
-            assert found[k].n_tokens == 0 and math.isnan(found[k].difference)
-            continue
+def defined_scores(texts, target):
+    """Mean losses of each text by the definition, from counts in dictionaries."""
+    cut = [[w.decode() for w in decontamination.words(t)] for t in texts]
+    often = {w for w, n in Counter(w for c in cut for w in c).items() if n >= lm_scoring.LEAST}
+    cut = [[w if w in often else None for w in c] for c in cut]
+    sides = [[c for c, t in zip(cut, target, strict=True) if t], cut]
+    single, double = ([Counter(g for c in side for g in grams(c)) for side in sides] for grams in (lambda w: w, lambda w: list(zip(w, w[1:]))))
+    out = []
+    for w in cut:
         bits = []
         for one, two in zip(single, double):
-            alone = lambda x: (one[x] + 1) / (sum(one.values()) + words)  # noqa: E731, B023
-            loss = [-math.log2(alone(w[0]))]
+            alone = lambda x: (one[x] + 1) / (sum(one.values()) + len(often) + 1)  # noqa: E731, B023
+            loss = [-math.log2(alone(w[0]))] if w else []
             for a, b in zip(w, w[1:]):
                 share = sum(n for (x, _), n in two.items() if x == a)
                 rest = 1 - lm_scoring.LAMBDA * share / max(one[a], 1)
                 loss.append(-math.log2(lm_scoring.LAMBDA * two[a, b] / max(one[a], 1) + rest * alone(b)))
-            bits.append(sum(loss) / len(loss))
-        assert (found[k].target_bits, found[k].background_bits) == (pytest.approx(bits[0], rel=1e-5), pytest.approx(bits[1], rel=1e-5))
-        assert found[k].difference == pytest.approx(bits[0] - bits[1], abs=1e-4)
+            bits.append(sum(loss) / len(loss) if w else None)
+        out.append((len(w), *bits))
+    return out
+
+
+@pytest.mark.parametrize(("block", "keys"), [(1 << 18, 1 << 20), (64, 50), (1, 7)])
+def test_scores_beside_the_definition(spark, monkeypatch, block, keys):
+    """Few large blocks and parts, or many small ones, down to a block for each text."""
+    monkeypatch.setattr(lm_scoring, "BLOCK", block)
+    monkeypatch.setattr(lm_scoring, "KEYS", keys)
+    texts = [prose(k, 40) + f" only{k}" + " twice two" * (k < 2) for k in range(30)] + [None, "", "unseen words", prose(3, 40) + " only3", "only1"]
+    chosen = [k % 2 == 0 and k < 20 for k in range(len(texts))]
+    docs = spark.createDataFrame(rows_of(texts), DOCS).repartition(3)
+    target = spark.createDataFrame([*[(k,) for k, t in enumerate(chosen) if t], (None,), (4,), (999,)], "doc_id long")
+    found = by_id(lm_scoring.scored(docs, target))
+    assert len(found) == len(texts)
+    for k, (n, a, b) in enumerate(defined_scores(texts, chosen)):
+        assert found[k].n_tokens == n
+        if n:
+            assert (found[k].target_bits, found[k].background_bits) == (pytest.approx(a, rel=1e-9), pytest.approx(b, rel=1e-9))
+            assert found[k].difference == pytest.approx(a - b, abs=1e-9)
+        else:
+            assert math.isnan(found[k].difference)
 
 
-def test_rare_words_are_one_word_and_models_sum_to_one(spark, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "WORDS", 40)
-    texts = [prose(k, 60) for k in range(10)]
+def test_both_models_sum_to_one(spark):
+    """What may follow a known word, the unknown word among it, has shares that add to one."""
+    words = ["aa", "bb", "cc"]
+    texts = [" ".join(words * 3), "aa cc aa", "zz aa yy aa", "aa", *[f"aa {w}" for w in [*words, "new"]]]
     docs = spark.createDataFrame(rows_of(texts), DOCS)
-    assert lm_scoring.scored(docs, docs.where("doc_id < 3").select("doc_id")).where("difference is not null").count() == 10
-    held = lm_scoring.Vocabulary(np.array([5, 9, 7]), np.array([10, 20, 30]), np.array([1, 0, 3]), (80, 9))
-    pair = np.array([0 << 20 | 1, 1 << 20 | 3, 3 << 20 | 0])
-    model = lm_scoring.Model(held, pair, np.array([4, 9, 7]), np.array([1, 0, 2]))
-    for _, share, alone, rest in model.sides:
-        assert alone.sum() == pytest.approx(1)
-        for h in range(4):
-            assert rest[h] * alone.sum() + share[pair >> 20 == h].sum() == pytest.approx(1)
+    found = by_id(lm_scoring.scored(docs, docs.where("doc_id < 2").select("doc_id")))
+    for side in ("target_bits", "background_bits"):
+        start = getattr(found[3], side)
+        assert sum(2 ** (start - 2 * getattr(found[4 + k], side)) for k in range(4)) == pytest.approx(1, rel=1e-9)
 
 
 def test_words_of_a_small_target_count_beside_a_large_corpus(spark):
-    """Three occurrences in 400,000 tokens are under 1 / WORDS."""
+    """Three occurrences in 400,000 tokens are enough."""
     texts = ["rareone raretwo"] * 3 + ["often " * 4000] * 100
     docs = spark.createDataFrame(rows_of(texts), DOCS)
     found = by_id(lm_scoring.scored(docs, docs.where("doc_id < 3").select("doc_id")))
@@ -428,22 +440,6 @@ def test_words_of_a_small_target_count_beside_a_large_corpus(spark):
     assert found[0].target_bits == pytest.approx((first + then) / 2, abs=1e-6)
 
 
-@pytest.mark.parametrize("bound", ["MOST_WORDS", "MOST_PAIRS"])
-def test_joined_scores_beside_broadcast_ones(spark, odd, monkeypatch, bound):
-    monkeypatch.setattr(lm_scoring, "WORDS", 1)
-    texts = [prose(k, 60) + f" only{k}" + " twice two" * (k < 2) for k in range(20)]
-    plain = spark.createDataFrame(rows_of([*texts, texts[3], "only1", "only1 only2 twice two alpha1"]), DOCS)
-    for docs, target in ((plain, "doc_id < 6"), (odd, "doc_id = 7"), (odd, "false")):
-        order = ["doc_id", "n_tokens", "target_bits"]
-        found = lambda: lm_scoring.scored(docs, docs.where(target).select("doc_id")).toPandas().sort_values(order).reset_index(drop=True)  # noqa: B023, E731
-        whole = found()
-        with monkeypatch.context() as m:
-            m.setattr(lm_scoring, bound, 0)
-            joined = found()
-        assert joined[order[:2]].equals(whole[order[:2]])
-        assert np.allclose(joined[whole.columns[2:]], whole[whole.columns[2:]], atol=1e-9, equal_nan=True)
-
-
 def test_scores_of_odd_rows(odd, empty):
     found = lm_scoring.scored(odd, odd.where("doc_id = 7").select("doc_id"))
     assert found.count() == len(ODD) + 3
