@@ -25,7 +25,7 @@ LEAST = 3
 #: Weight of a bigram's share beside the word's own probability.
 LAMBDA = 0.7
 #: Tokens of a block, or one text, and keys that are counted together in a task.
-BLOCK, KEYS = 1 << 18, 1 << 20
+BLOCK, KEYS = 1 << 19, 1 << 20
 #: In the place of the hash of a word that is not in the vocabulary.
 UNKNOWN = np.int64(0)
 
@@ -64,6 +64,18 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed()
 
 
+def _short(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes as the largest needs, all first bytes before all second ones: most of those are zero and
+    vanish when the rows are compressed."""
+    kind = np.min_scalar_type(int(counts.max(initial=0)))
+    return np.ascontiguousarray(counts, kind).reshape(-1).view(np.uint8).reshape(-1, kind.itemsize).T.tobytes()
+
+
+def _long(raw: bytes, kinds: int, n: int) -> np.ndarray:
+    size = len(raw) // (kinds * n)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(f"u{size}").reshape(kinds, n).astype(np.int64)
+
+
 class Block:
     """A block's texts, and the counts that its words and pairs have."""
 
@@ -102,21 +114,23 @@ def _dealt(keys: np.ndarray, parts: int) -> list[np.ndarray]:
 
 
 def _questions(block: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
-    rows = [(block, p, keys[at].tobytes(), counts[:, at].astype(np.uint32).tobytes()) for p, at in enumerate(_dealt(keys, parts)) if len(at)]
+    rows = [(block, p, keys[at].tobytes(), _short(counts[:, at])) for p, at in enumerate(_dealt(keys, parts)) if len(at)]
     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["block", "part", "keys", "counts"])
 
 
-def _answers(table: pa.Table, kinds: int) -> pa.Table:
+def _answers(table: pa.Table, kinds: int, unknown: bool) -> pa.Table:
     """All blocks' questions of a part: each gets the sums over all blocks, and the first row the sums over known keys."""
     keys = [np.frombuffer(k, np.int64) for k in table.column("keys").to_pylist()]
-    counts = [np.frombuffer(c, np.uint32).reshape(kinds, -1) for c in table.column("counts").to_pylist()]
+    counts = [_long(c, kinds, len(k)) for c, k in zip(table.column("counts").to_pylist(), keys, strict=True)]
     found, at = np.unique(np.concatenate(keys), return_inverse=True)
     every = np.concatenate(counts, axis=1)
     sums = np.stack([np.bincount(at, every[k], len(found)) for k in range(kinds)]).astype(np.int64)
     known = sums[0] >= LEAST
     ends = np.cumsum([len(k) for k in keys])
-    answers = [sums[:, at[e - len(k) : e]].astype(np.int64).tobytes() for k, e in zip(keys, ends, strict=True)]
+    # Of an unknown word it is enough to know that it is one.
+    told = np.where(known, sums, 0) if unknown else sums
+    answers = [_short(told[:, at[e - len(k) : e]]) for k, e in zip(keys, ends, strict=True)]
     first = [[int(known.sum())] + [0] * (len(keys) - 1), [sums[:, known].sum(1).tolist()] + [[0] * kinds] * (len(keys) - 1)]
     return pa.table([table.column("block"), table.column("part"), pa.array(answers, pa.binary()), pa.array(first[0], pa.int64()),
                      pa.array(first[1], pa.list_(pa.int64()))], names=["block", "part", "counts", "known", "sums"])
@@ -126,7 +140,8 @@ def _gathered(keys: np.ndarray, answers: list[dict] | None, parts: int, kinds: i
     """The answers of all parts in the order of a block's keys."""
     out, places = np.zeros((kinds, len(keys)), np.int64), _dealt(keys, parts)
     for a in answers or []:
-        out[:, places[a["part"]]] = np.frombuffer(a["counts"], np.int64).reshape(kinds, -1)
+        at = places[a["part"]]
+        out[:, at] = _long(a["counts"], kinds, len(at))
     return out
 
 
@@ -200,7 +215,7 @@ def scored(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     word_parts, parts = (max(1, -(-k // KEYS)) for k in (size.n_words, size.n))
 
     def answered(asked: DataFrame, kinds: int) -> DataFrame:
-        return written(asked.groupBy("part").applyInArrow(lambda table: _answers(table, kinds), _ANSWERED), "answers")
+        return written(asked.groupBy("part").applyInArrow(lambda table: _answers(table, kinds, kinds == 4), _ANSWERED), "answers")
 
     def with_answers(of: DataFrame, answers: DataFrame, name: str) -> DataFrame:
         each = answers.groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias(name))
