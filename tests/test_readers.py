@@ -71,3 +71,30 @@ def test_headers_that_do_not_fit(spark, tmp_path_factory):
         scan_records(spark, folder(spark, tmp_path_factory, a="brand,model,year,note,brand\na,b,1,c,d\n"), COLUMNS)
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         scan_listings(spark, scratch(spark, "nothing"), COLUMNS)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_files_with_quoted_breaks_are_split(spark, tmp_path_factory, end):
+    """Splits of a few bytes begin anywhere: inside quotes, in lines that settle nothing, in the header."""
+    notes = ["plain", '"two\nlines"', '"a ""b""\n"" c"', '"\n\n"', '""', '"x, ""y"",\n1,2\n"', 'inch 5" wide', '"""\n"', '" late"']
+    lines = ["", "brand,model,year,note", ""]
+    for i in range(60):
+        lines.append(f"b{i},{notes[i % 9]},{2000 + i % 20},{notes[i * 7 % 11 % 9]}")
+        if i % 10 == 3:
+            lines += ["", f'c{i},"M\n{i}",2001,one,"two\n, three"', f"d{i}"]
+    text = end.join(line.replace("\n", end) for line in lines) + end
+    path = folder(spark, tmp_path_factory, a=text, b=text.replace("b1", "e1"))
+    whole = spark.read.schema("a string, b string, c string, d string, r string").csv(
+        path, header=True, enforceSchema=True, multiLine=True, escape='"', columnNameOfCorruptRecord="r", mode="PERMISSIVE").cache()
+    # Short records are kept.
+    wanted = sorted(((r.a, r.b, r.c, r.d) for r in whole.collect() if not (r.r and r.a.startswith("c"))), key=str)
+    aside = sorted(r.r for r in whole.collect() if r.r and r.a.startswith("c"))
+    for size in ("29", "300", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = scan_records(spark, path, COLUMNS)
+            assert "FileScan csv" not in found.kept._jdf.queryExecution().toString()  # that one reads a file in one task
+            assert rows(found.kept) == wanted, size
+            assert sorted(r.raw for r in found.quarantined.collect()) == aside, size
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
