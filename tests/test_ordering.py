@@ -57,6 +57,28 @@ def test_quantiles_do_not_depend_on_brackets_or_partitions(spark, monkeypatch):
     assert [q for _, _, q in wide[1]] == pytest.approx(list(np.quantile(values, shares)), rel=1e-13)
 
 
+def test_rows_of_a_group_do_not_meet_in_one_task(spark, monkeypatch):
+    """Large groups have a bracket, small ones none: neither kind of row is shuffled or sorted by its group."""
+    rng = np.random.default_rng(5)
+    frame = pd.DataFrame({"g": rng.choice(list("aaaab"), 5_000), "h": 1, "x": rng.lognormal(3, 2, 5_000)})
+    frame.loc[:9, "g"] = "few"
+    monkeypatch.setattr("forecourt.operators.ordering.ACCURACY", 300)
+    for name, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        before = spark.conf.get(name)
+        spark.conf.set(name, value)
+        try:
+            got = group_quantiles(spark.createDataFrame(frame), ["g", "h"], "x", [0.1, 0.5])
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            rows = got.collect()
+        finally:
+            spark.conf.set(name, before)
+        assert "SortMergeJoin" not in plan
+        assert sorted((r["g"], r["share"], r["n"]) for r in rows) == sorted(
+            (g, s, n) for g, n in frame["g"].value_counts().items() for s in (0.1, 0.5))
+        for r in rows:
+            assert r["quantile"] == pytest.approx(frame[frame["g"] == r["g"]]["x"].quantile(r["share"]), rel=1e-12)
+
+
 def test_missing_keys_and_values_are_left_out(spark):
     data = [("a", 1.0), ("a", 2.0), ("a", None), (None, 9.0), ("b", None)]
     got = group_quantiles(spark.createDataFrame(data, "g string, x double"), ["g"], "x", [0.5]).collect()
