@@ -8,6 +8,7 @@ listings with the smallest scaled distance.
 2. The listings of each group are divided at their medians, again and again, until no cell holds more than LEAF of
    them. Requests go down this tree together, a level at a time; at each level the cells give a distance within
    which enough listings are certain, and so the cells that can hold a neighbour.
+   What is divided is the different numbers with their counts; listings get their cell by their numbers.
 3. Only listings of those leaves meet the request, joined on group and cell, and of listings with the same
    numbers only as many as can be among the nearest. So a request meets about as many listings in a large table as in
    a small one.
@@ -132,12 +133,13 @@ def _tree(listed: DataFrame, leaf: int) -> list[tuple[DataFrame, DataFrame]]:
     A cell with more than `leaf` rows is cut at the medians of its rows in all dimensions at once, which gives up to eight
     cells of the next level; a digit is added to its name for each cut. Only rows of cells that are too large go on, so a
     level costs one count and one pass over them, and there are as many levels as the largest group needs. Cells
-    whose rows are alike in all numbers are not cut.
+    whose rows are alike in all numbers are not cut. A row stands for as many listings as its column `held` says, if it has one.
     """
+    size = F.sum("held") if "held" in listed.columns else F.count(F.lit(1))
     open_, levels = written(listed.withColumn("cell", F.lit("r")), "rows"), []
     while True:
         cells = written(open_.groupBy(*PLACE).agg(
-            F.count(F.lit(1)).alias("rows"),
+            size.alias("rows"),
             *[e for c in DIMS for e in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"),
                                         F.percentile_approx(c, 0.5, 100).alias(f"cut_{c}"))]), "cells")
         alike = " AND ".join(f"lo_{c} = hi_{c}" for c in DIMS)
@@ -216,12 +218,19 @@ def met_listings(requests: DataFrame, sample: DataFrame, n: int = 8, least: int
     # so a crowd of copies shrinks to n rows in every task, before the shuffle.
     copies = Window.partitionBy("brand", "model", *DIMS).orderBy(key)
     listed = sample.select("brand", "model", *DIMS, key).withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= n)
-    levels = _tree(_groups(listed.drop("_copy")), LEAF)
+    listed = written(listed.drop("_copy"), "listed")
+    # What is cut, level by level, is the numbers that listings have, each once and without keys: a level writes little.
+    points = _groups(listed.groupBy("brand", "model", *DIMS).agg(F.count(F.lit(1)).alias("held"))).groupBy(
+        "kind", "name", *DIMS).agg(F.least(F.sum("held"), F.lit(n)).alias("held"))
+    levels = _tree(points, LEAF)
     plan = written(_search_plan(targets, levels, n), "search-plan")
     leaves = plan.select(*PLACE).distinct()
-    held = reduce(DataFrame.unionByName, [rows.join(leaves, list(PLACE), "left_semi") for rows, _ in levels])
-    alike = Window.partitionBy(*PLACE, *DIMS).orderBy(key)
-    held = held.withColumn("_copy", F.row_number().over(alike)).filter(F.col("_copy") <= n).drop("_copy")
+    point = F.struct(*DIMS).alias("point")
+    places = reduce(DataFrame.unionByName, [
+        rows.join(leaves, list(PLACE), "left_semi").select(*PLACE, point) for rows, _ in levels])
+    alike = Window.partitionBy("kind", "name", "point").orderBy(key)
+    held = _groups(listed.select("brand", "model", point, key)).join(places, ["kind", "name", "point"])
+    held = held.withColumn("_copy", F.row_number().over(alike)).filter(F.col("_copy") <= n).select(*PLACE, "point.*", key)
     return plan.join(held, list(PLACE))
 
 

@@ -164,6 +164,18 @@ def test_a_request_meets_as_many_listings_in_a_large_table(spark):
     assert met(64_000) < 1.5 * met(8_000) < 1_500
 
 
+def test_cells_are_made_of_numbers_without_keys(spark, sample, known, monkeypatch):
+    """Every level of the tree is written: it holds different numbers once, however many listings have them."""
+    kept, write = [], s.written
+    monkeypatch.setattr(s, "written", lambda df, name, *rest: kept.append((name, write(df, name, *rest))) or kept[-1][1])
+    _, df = requests(spark)
+    s.similar_listings(df, sample).count()
+    levels = [rows for name, rows in kept if name == "rows"]
+    assert levels and not any("listing_id" in rows.columns for rows in levels)
+    every = levels[0].where("kind = 'all'")
+    assert every.count() == len(known[list(s.DIMS)].drop_duplicates()) and every.agg(F.max("held")).first()[0] == 8
+
+
 def test_explanations(spark, known, sample):
     rows = [(0, "hot", 1000.0, 2022, 299.0, "Electric"), (1, "nine", 400000.0, 2000, 51.0, "Diesel Hybrid")]
     df = spark.createDataFrame(rows, "request_id int, brand string, mileage_in_km double, year int, power_ps double, "
