@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries as q
 from forecourt.config import Scope
 from forecourt.operators import similar as s
 from forecourt.operators.compare import compare_pairs
@@ -176,6 +177,15 @@ def test_cells_are_made_of_numbers_without_keys(spark, sample, known, monkeypatc
     assert every.count() == len(known[list(s.DIMS)].drop_duplicates()) and every.agg(F.max("held")).first()[0] == 8
 
 
+@pytest.mark.parametrize("query", [q.explain, q.similar])
+def test_listings_are_cleaned_once(spark, sample, monkeypatch, query):
+    """The medians of power come from the listings that the query has written, not from the raw rows again."""
+    asked, read = requests(spark)[1].withColumns({"fuel_type": F.lit("Petrol"), "power_ps": F.lit(None).cast("double")}), []
+    monkeypatch.setattr(q.t, "clean", lambda *_: read.append(1) or sample)
+    monkeypatch.setattr(q.t, "requests", lambda *_: asked.drop("year"))
+    assert query(spark, "").count() > 0 and len(read) == 1
+
+
 def test_explanations(spark, known, sample):
     rows = [(0, "hot", 1000.0, 2022, 299.0, "Electric"), (1, "nine", 400000.0, 2000, 51.0, "Diesel Hybrid")]
     df = spark.createDataFrame(rows, "request_id int, brand string, mileage_in_km double, year int, power_ps double, "
