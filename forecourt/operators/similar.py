@@ -141,7 +141,7 @@ def _tree(listed: DataFrame, leaf: int) -> list[tuple[DataFrame, DataFrame]]:
         cells = written(open_.groupBy(*PLACE).agg(
             size.alias("rows"),
             *[e for c in DIMS for e in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"),
-                                        F.percentile_approx(c, 0.5, 100).alias(f"cut_{c}"))]), "cells")
+                                        F.percentile_approx(c, 0.5, 1000).alias(f"cut_{c}"))]), "cells")
         alike = " AND ".join(f"lo_{c} = hi_{c}" for c in DIMS)
         cells = cells.withColumn("leaf", F.expr(f"rows <= {leaf} OR ({alike})"))
         levels.append((open_, cells))
