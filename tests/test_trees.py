@@ -54,6 +54,22 @@ def test_drawn_rows_and_features_are_the_same_each_time(rows):
     assert not np.array_equal(said(first, rows), said(trees.GBTRegressor(**{**settings, "seed": 8}).fit(rows), rows))
 
 
+@pytest.mark.parametrize("name, label, more", [("DecisionTreeRegressor", "y", {}), ("DecisionTreeClassifier", "c", {}),
+                                               ("GBTRegressor", "y", dict(maxIter=2, subsamplingRate=0.8, featureSubsetStrategy="0.5"))])
+def test_nodes_of_few_rows_are_grown_in_one_job(rows, name, label, more, monkeypatch):
+    jobs, level = [], trees.Learner.level
+    monkeypatch.setattr(trees.Learner, "level", lambda me, *given, **named: jobs.append(1) or level(me, *given, **named))
+    estimator = getattr(trees, name)(labelCol=label, maxDepth=7, maxBins=64, seed=7, **more)
+    few = estimator.fit(rows)
+    # The root, and for a tree the leaves that are children of it: not a job for each level.
+    assert len(jobs) <= 2
+    for most in (0, 150):  # every level a job, and nodes that grow small on the way
+        monkeypatch.setattr(trees, "SUBTREE_ROWS", most)
+        other = estimator.fit(rows)
+        assert np.allclose(said(other, rows), said(few, rows), rtol=1e-9)
+        assert np.allclose(other.featureImportances.toArray(), few.featureImportances.toArray(), atol=1e-9)
+
+
 def test_a_row_is_held_as_what_its_vector_stores(spark):
     size, n = 60_000, 300
     wide = spark.createDataFrame([(Vectors.sparse(size, {k % 90: 1.0, size - 1: float(k)}), float(k % 90)) for k in range(n)], ["features", "y"])
