@@ -83,3 +83,42 @@ def test_rows_that_cannot_be_learnt_are_named(spark, rows):
         trees.DecisionTreeRegressor(labelCol="y").fit(rows.limit(0))
     with pytest.raises(Exception, match="NULL"):
         trees.DecisionTreeRegressor(labelCol="y").fit(rows.selectExpr("features", "if(y > 100, NULL, y) AS y"))
+
+
+@pytest.mark.parametrize("name, label", [("GBTRegressor", "y"), ("GBTClassifier", "c")])
+def test_all_rounds_of_a_small_table_are_one_job(rows, name, label, monkeypatch):
+    jobs, level, small = [], trees.Learner.level, trees.ROUNDS_VALUES
+    monkeypatch.setattr(trees.Learner, "level", lambda me, *given, **named: jobs.append(1) or level(me, *given, **named))
+    # Rows of 1, 3 and all 43 stored values, and chunks of a few rows.
+    wide = Vectors.dense([float(k % 5) for k in range(WIDE + 3)])
+    odd = rows.union(rows.sparkSession.createDataFrame([(Vectors.sparse(WIDE + 3, {}), 5.0, 0.0), (wide, 150.0, 1.0), (wide, 90.0, 0.0)], rows.schema))
+    monkeypatch.setattr(trees, "CHUNK_VALUES", 90)
+    estimator = getattr(trees, name)(labelCol=label, maxIter=3, maxDepth=5, maxBins=64, stepSize=0.3, subsamplingRate=0.8,
+                                     featureSubsetStrategy="0.5", minInstancesPerNode=2, seed=7)
+    at_once = estimator.fit(odd)
+    assert not jobs
+    for setting in ("ROUNDS_VALUES", "OPEN_SUMS"):
+        monkeypatch.setattr(trees, "ROUNDS_VALUES", small)
+        monkeypatch.setattr(trees, setting, 0)
+        jobs.clear()
+        by_rounds = estimator.fit(odd)
+        assert len(jobs) >= 3
+        assert by_rounds.totalNumNodes == at_once.totalNumNodes and by_rounds.getNumTrees == at_once.getNumTrees == 3
+        assert np.allclose(said(by_rounds, odd), said(at_once, odd), rtol=1e-9)
+        assert np.allclose(by_rounds.featureImportances.toArray(), at_once.featureImportances.toArray(), atol=1e-9)
+
+
+def test_equal_numbers_are_not_split():
+    """Sums of equal numbers can leave an impurity below or above zero: the node is a leaf, its gain not that of a cut that isn't allowed."""
+    learner = trees.Learner(trees.Bins(np.array([0.5, 0.5]), np.array([0, 2, 4])), 0, 1, 0.0, 2, 7, np.zeros(2, dtype=bool))
+    below = 0
+    for value in (k / 7 for k in range(1, 200)):
+        dense = np.zeros((1, 5, 3))
+        for at, rows in ((1, 2), (3, 1), (4, 3)):
+            for _ in range(rows):
+                dense[0, at] += (1, value, value * value)
+        below += trees.impurity(dense[0, 4], False)[1] < 0
+        assert [s[2:4] for s in learner.splits([0], [0], dense, 0)] == [(0.0, -1)]
+        block = np.array([0, 1, 1], dtype=np.int32), np.array([1, 1, 3], dtype=np.int32), np.array([value] * 3)
+        assert trees.Table(learner, [(0, 0, block)]).grown(3, 0, block[2], None)[0].feature == [-1]
+    assert below
